@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .incremental import match_batches
+from .layout_copies import layout_copies
 from .near_duplicates import near_duplicate_groups
 
 
@@ -23,8 +25,22 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return p2_groups(spark, sf).where("first_file_id <> file_id").select("first_file_id", "file_id")
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return match_batches(_t(spark, sf, "file_state"), _t(spark, sf, "delta_path"), _t(spark, sf, "fingerprinted_document"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    c = layout_copies(_t(spark, sf, "fingerprinted_document"))
+    return c.where("first <> id").select(F.col("first").alias("first_file_id"), F.col("id").alias("file_id"))
+
+
+def p6_records(spark: SparkSession, sf: str) -> DataFrame:
+    """One record per group with its number of copies."""
+    return layout_copies(_t(spark, sf, "fingerprinted_document")).where("first = id").select(F.col("id").alias("file_id"), "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_groups": p2_groups}
+    return {"p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
 
 
 def oracle_sql() -> dict[str, str]:
