@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .eval_leaks import eval_leaks
 from .incremental import match_batches
 from .layout_copies import layout_copies
 from .near_duplicates import near_duplicate_groups
@@ -39,8 +40,16 @@ def p6_records(spark: SparkSession, sf: str) -> DataFrame:
     return layout_copies(_t(spark, sf, "fingerprinted_document")).where("first = id").select(F.col("id").alias("file_id"), "copies")
 
 
+def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return eval_leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_item"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_leaks(spark, sf).where("words >= 15").select("doc_id", "item_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
+    return {"p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
 
 
 def oracle_sql() -> dict[str, str]:
