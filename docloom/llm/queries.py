@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .containers import fill_containers
 from .eval_leaks import eval_leaks
 from .incremental import match_batches
 from .layout_copies import layout_copies
 from .near_duplicates import near_duplicate_groups
+from .survivors import surviving_records
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -48,8 +50,26 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).where("words >= 15").select("doc_id", "item_id")
 
 
+def p5_records(spark: SparkSession, sf: str) -> DataFrame:
+    return surviving_records(_t(spark, sf, "document_dedup"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p5_records(spark, sf).select("group_id", "survivor_id")
+
+
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_containers(_t(spark, sf, "documents"), _t(spark, sf, "container_spec"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that no container of the smallest capacity holds whole."""
+    placed = p8_containers(spark, sf)
+    return placed.where((F.col("pieces") > 1) & (F.col("capacity_tokens") == 2048)).select("doc_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
+    return {"p5_found": p5_found, "p5_records": p5_records, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
 
 
 def oracle_sql() -> dict[str, str]:
