@@ -12,6 +12,7 @@ from .eval_leaks import eval_leaks
 from .incremental import match_batches
 from .layout_copies import layout_copies
 from .near_duplicates import near_duplicate_groups
+from .reading_level import reading_bands, reading_levels
 from .survivors import surviving_records
 
 
@@ -68,8 +69,16 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return placed.where((F.col("pieces") > 1) & (F.col("capacity_tokens") == 2048)).select("doc_id").distinct()
 
 
+def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return reading_levels(_t(spark, sf, "documents"), _t(spark, sf, "reading_label"))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return reading_bands(_t(spark, sf, "documents"), _t(spark, sf, "reading_label"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_records": p5_records, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
+    return {"p10_found": p10_found, "p10_levels": p10_levels, "p5_found": p5_found, "p5_records": p5_records, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
 
 
 def oracle_sql() -> dict[str, str]:
