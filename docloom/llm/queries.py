@@ -13,7 +13,10 @@ from .incremental import match_batches
 from .layout_copies import layout_copies
 from .near_duplicates import near_duplicate_groups
 from .reading_level import reading_bands, reading_levels
+from .scan_repair import repair_scans
+from .splitting import split_texts
 from .survivors import surviving_records
+from .text_types import not_prose, text_types
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -77,8 +80,33 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return reading_bands(_t(spark, sf, "documents"), _t(spark, sf, "reading_label"))
 
 
+def p3_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Repaired texts and their damaged lines."""
+    return repair_scans(_t(spark, sf, "parsed_document"))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_texts(spark, sf).select("file_id", F.explode("defects").alias("d")).select("file_id", "d.line_no", "d.defect").distinct()
+
+
+def p4_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return split_texts(_t(spark, sf, "parsed_document"), _t(spark, sf, "run_config"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4_pieces(spark, sf).where("pieces > 1").select("file_id").distinct()
+
+
+def p7_types(spark: SparkSession, sf: str) -> DataFrame:
+    return text_types(_t(spark, sf, "parsed_document"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return not_prose(_t(spark, sf, "parsed_document"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p10_found": p10_found, "p10_levels": p10_levels, "p5_found": p5_found, "p5_records": p5_records, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
+    return {"p3_found": p3_found, "p3_texts": p3_texts, "p4_found": p4_found, "p4_pieces": p4_pieces, "p7_found": p7_found, "p7_types": p7_types, "p10_found": p10_found, "p10_levels": p10_levels, "p5_found": p5_found, "p5_records": p5_records, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found, "p9_leaks": p9_leaks, "p1_found": p1_found, "p6_found": p6_found, "p6_records": p6_records, "p2_found": p2_found, "p2_groups": p2_groups}
 
 
 def oracle_sql() -> dict[str, str]:
