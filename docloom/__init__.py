@@ -1,0 +1 @@
+"""docloom: document-corpus preparation as Spark plans."""
