@@ -9,11 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: fixed value: white space as str.strip() knows it
-WHITE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WHITE_CHARS = "".join(chr(i) for i in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WHITE}+|{WHITE}+$", "")
+    return F.btrim(c, F.lit(WHITE_CHARS))
 
 
 def norm_path(c: Column) -> Column:

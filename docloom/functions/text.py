@@ -14,6 +14,11 @@ PAGE_LINE = r"^(?:page \d+ of \d+|page \d+|\d+/\d+|\d+|printed on .+|generated o
 REPEATED_LINES, REPEATED_LENGTH = 3, 120
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _share(c: Column, keep: str) -> Column:
     """Share of the characters that are in the class ``keep``; null for an empty text."""
     return F.length(F.regexp_replace(c, f"[^{keep}]", "")) / F.nullif(F.length(c), F.lit(0))
@@ -86,9 +91,19 @@ def normalized_lines(c: Column) -> Column:
 
 
 def without_repeats(lines: Column) -> Column:
-    """Short lines that stand three times or more are headers or footers; they go unless nothing else is left."""
-    kept = F.filter(lines, lambda x: ~((F.length(x) <= REPEATED_LENGTH) & (F.size(F.filter(lines, lambda y: y == x)) >= REPEATED_LINES)))
-    return F.when(F.size(kept) > 0, kept).otherwise(lines)
+    """Short lines that stand three times or more are headers or footers; they go unless nothing else is left.
+
+    In the sorted lines such a line equals the one two places on, so the cost is that of a sort.
+    """
+
+    def repeated(s: Column) -> Column:
+        last = F.size(s) - (REPEATED_LINES - 1)
+        return F.array_distinct(F.filter(s, lambda x, i: (i < last) & (F.length(x) <= REPEATED_LENGTH) & (F.get(s, i + (REPEATED_LINES - 1)) == x)))
+
+    def kept(l: Column) -> Column:
+        return let(let(F.array_sort(l), repeated), lambda r: F.when(F.size(r) == 0, l).otherwise(let(F.filter(l, lambda x: ~F.array_contains(r, x)), lambda k: F.when(F.size(k) > 0, k).otherwise(l))))
+
+    return let(lines, kept)
 
 
 def normalized_text(c: Column) -> Column:
@@ -101,9 +116,12 @@ def word_tokens(c: Column) -> Column:
 
 def word_shingles(c: Column, k: int = 5) -> Column:
     """Distinct runs of ``k`` words; a shorter text is one run."""
-    t = word_tokens(c)
-    many = F.transform(F.sequence(F.lit(1), F.size(t) - k + 1), lambda i: F.array_join(F.slice(t, i, k), " "))
-    return F.when(F.size(t) == 0, F.array().cast("array<string>")).when(F.size(t) <= k, F.array(F.array_join(t, " "))).otherwise(F.array_distinct(many))
+
+    def runs(t: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(t) - k + 1)), lambda i: F.array_join(F.slice(t, i, k), " "))
+        return F.when(F.size(t) == 0, F.array().cast("array<string>")).when(F.size(t) <= k, F.array(F.array_join(t, " "))).otherwise(F.array_distinct(many))
+
+    return let(word_tokens(c), runs)
 
 
 def line_units(c: Column) -> Column:

@@ -67,7 +67,7 @@ def chunk_rows(docs: DataFrame, size: int = 1200, overlap: int = 200, most_headi
         raise ValueError("overlap must be less than size")
     ship_package(docs.sparkSession)
     keep = [c for c in docs.columns if c != text]
-    schema = docs.select(*keep).schema.add("chunk_index", "int").add("chunk_text", "string").add("chunk_start", "int").add("chunk_end", "int")
+    schema = docs.select(*keep).schema.add("chunk_index", "integer").add("chunk_text", "string").add("chunk_start", "integer").add("chunk_end", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

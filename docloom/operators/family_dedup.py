@@ -68,15 +68,15 @@ def _near(a: tuple[set, set], b: tuple[set, set]) -> float:
 def _leaders(threshold: float, min_chars: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(
-            _q=pdf["parse_quality"].fillna(-1.0), _e=pdf["ext"].map(EXT_RANK).fillna(0), _n=pdf["normalized_chars"].fillna(0), _p=pdf["path"].str.lower()
-        ).sort_values(["_q", "_e", "_n", "_p"], ascending=False, kind="stable")
+            rank_q=pdf["parse_quality"].fillna(-1.0), rank_e=pdf["ext"].map(EXT_RANK).fillna(0), rank_n=pdf["normalized_chars"].fillna(0), rank_p=pdf["path"].str.lower()
+        ).sort_values(["rank_q", "rank_e", "rank_n", "rank_p"], ascending=False, kind="stable")
         leaders: list[tuple[str, tuple[set, set]]] = []
         by_hash: dict[str, str] = {}
         rows = []
         for r in pdf.itertuples():
             text, digest = r.normalized_text or "", r.normalized_hash or ""
             verdict = None
-            if r._n >= min_chars and digest:
+            if r.rank_n >= min_chars and digest:
                 units = _units(text)
                 if digest in by_hash:
                     verdict = (by_hash[digest], "exact_normalized_text", 1.0)
