@@ -34,19 +34,13 @@ def alpha_share(c: Column) -> Column:
 
 def parse_quality(c: Column) -> Column:
     """Six-level quality of a parsed text (0, .1, .3, .4, .8, 1); null and blank texts score 0."""
-    full = strip(F.coalesce(c, F.lit("")))
-    sample = F.substring(full, 1, 2000)
-    low = F.lower(sample)
-    hits = sum((F.contains(low, F.lit(m)).cast("int") for m in BOILERPLATE), F.lit(0))
-    return (
-        F.when(full == "", 0.0)
-        .when(F.length(full) < 50, 0.3)
-        .when(printable_share(sample) < 0.7, 0.1)
-        .when(alpha_share(sample) < 0.2, 0.3)
-        .when(hits >= 3, 0.4)
-        .when((alpha_share(sample) > 0.5) & (printable_share(sample) > 0.95), 1.0)
-        .otherwise(0.8)
-    )
+
+    def score(full: Column, sample: Column, printable: Column, alpha: Column) -> Column:
+        low = F.lower(sample)
+        hits = sum((F.contains(low, F.lit(m)).cast("int") for m in BOILERPLATE), F.lit(0))
+        return F.when(full == "", 0.0).when(F.length(full) < 50, 0.3).when(printable < 0.7, 0.1).when(alpha < 0.2, 0.3).when(hits >= 3, 0.4).when((alpha > 0.5) & (printable > 0.95), 1.0).otherwise(0.8)
+
+    return let(strip(F.coalesce(c, F.lit(""))), lambda full: let(F.substring(full, 1, 2000), lambda x: let(printable_share(x), lambda p: let(alpha_share(x), lambda a: score(full, x, p, a)))))
 
 
 def text_file_quality(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from ..plans.shared import materialize
 
 TOLERANCE_S = 2.0
 
@@ -33,7 +34,8 @@ def first_by_hash(files: DataFrame, hash_col: str = "hash", order: str = "ordina
 
 def suffix_copies(files: DataFrame) -> DataFrame:
     """Files ``Name_N.ext`` whose content equals ``Name.ext`` in the same folder: ``path, original``."""
-    named = files.select("path", "hash", P.suffix_copy_of(F.col("path")).alias("original")).where("original is not null and hash is not null")
+    maybe = files.where(F.col("hash").isNotNull() & F.rlike("path", F.lit(r"_\d+\.[^./\\]*$|_\d+$")))
+    named = maybe.select("path", "hash", P.suffix_copy_of(F.col("path")).alias("original")).where("original is not null")
     there = files.select(P.norm_path(F.col("path")).alias("original"), F.col("hash").alias("_hash")).distinct()
     return named.join(there, "original").where(F.lower("hash") == F.lower("_hash")).select("path", "original").distinct()
 
@@ -52,7 +54,7 @@ def classify(files: DataFrame, state: DataFrame, against_state: bool = False) ->
     stamp = F.coalesce(same_stamp(F.col("mtime"), F.col("size"), F.col("_m"), F.col("_z")), F.lit(False))
     j = j.withColumn("hash", F.coalesce(F.when(stamp, F.col("_h")), F.col("hash")))
     early = F.when(stamp & (F.col("_s") == "indexed"), "unchanged").when(stamp & (F.col("_s") == "duplicate"), "duplicate").when((F.col("_s") == "indexed") & (F.lower("_h") == F.lower("hash")), "unchanged")
-    j = j.select("ordinal", "path", "_p", "hash", early.alias("early"))
+    j = materialize(j.select("ordinal", "path", "_p", "hash", early.alias("early")))
     copies = suffix_copies(j.select(F.col("_p").alias("path"), "hash")).select(F.col("path").alias("_p"), F.lit(True).alias("copy"))
     j = j.join(copies, "_p", "left").withColumn("early", F.coalesce("early", F.when(F.col("copy"), "duplicate")))
     rest = first_by_hash(j.where("early is null"))
