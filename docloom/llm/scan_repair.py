@@ -8,6 +8,7 @@ character confusions below and are re-estimated from the corrections of the corp
 
 from __future__ import annotations
 
+import difflib
 import math
 import re
 from collections import Counter
@@ -29,12 +30,15 @@ CONFUSIONS = [
 ]
 UNI_BITS, BI_BITS = 21, 20
 KNOWN = 2
+#: prior count of a word that the model has never seen
+UNSEEN = 1e-5
 CLEAR = 0.995
 ROMAN = r"(?:x{0,3}(?:ix|iv|v?i{1,3}|v|x))"
 NUMBER = rf"(?:\d{{1,4}}|{ROMAN})"
 PAGE = re.compile(rf"(?:(?:page|pg\.?|p\.?|seite|sheet|folio)\s*({NUMBER})(?:\s*(?:of|/)\s*\d+)?|(\d{{1,4}})\s*(?:of|/)\s*\d{{1,4}}|([-~*=.|–—_]+)\s*({NUMBER})\s*[-~*=.|–—_]+|[\[(<{{]\s*({NUMBER})\s*[\])>}}]|({NUMBER}))", re.I)
 TAIL_NUMBER = re.compile(rf"^(.*\S)(?:\s{{2,}}|\s+[-|–—.,]?\s*(?:page|pg\.?|p\.)?\s*)({NUMBER})(?:\s*(?:of|/)\s*\d+)?\s*[-|–—\])]?$", re.I)
 HEAD_NUMBER = re.compile(rf"^[-|–—\[(]?\s*(?:page|pg\.?|p\.)?\s*({NUMBER})(?:\s*(?:of|/)\s*\d+)?(?:\s{{2,}}|\s*[-|–—.,\])]?\s+)(\S.*)$", re.I)
+NUMBERED = re.compile(rf"^\d{{1,4}}\s{{2,}}\S|\S\s{{2,}}(?:\d{{1,4}}|{ROMAN})$", re.I)
 BREAK = re.compile(r"([^\W\d_]+)[-¬­‐‑]\s*$")
 NEXT = re.compile(r"\s*([^\W\d_]+)")
 TOKEN = re.compile(r"\S+")
@@ -58,63 +62,118 @@ def is_wrapped(lines: list[str]) -> bool:
 
 
 def _rising(values: list[int]) -> bool:
-    return all(b - a == 1 for a, b in zip(values, values[1:], strict=False))
+    """Numbers of pages: rising, with few of them missing."""
+    steps = [b - a for a, b in zip(values, values[1:], strict=False)]
+    return all(d > 0 for d in steps) and sum(steps) <= 2 * max(1, len(steps))
+
+
+def _chain(found: list[tuple[int, int]]) -> list[int]:
+    """Longest run of (line, value) rows whose values rise by one to three from row to row, as indices."""
+    best: list[list[int]] = []
+    for k, (_, v) in enumerate(found):
+        best.append(max((best[j] for j in range(max(0, k - 50), k) if 1 <= v - found[j][1] <= 3), key=len, default=[]) + [k])
+    return max(best, key=len, default=[])
+
+
+def _bare_form(x: str) -> str:
+    """A running line without the page's number at either end."""
+    for rx, body in ((TAIL_NUMBER, 1), (HEAD_NUMBER, 2)):
+        m = rx.match(x)
+        if m and len(m.group(body)) >= 6:
+            return m.group(body).lower()
+    return x.lower()
 
 
 def layout(lines: list[str]) -> dict[int, str]:
-    """Line index -> running_line or page_number."""
+    """Line index -> running_line or page_number.
+
+    Marked page numbers come first, then lines that repeat exactly or but for a rising number, then bare numbers in rising order or at a
+    page's edge, and last lines at a page's edge that resemble a running line but for recognition errors.
+    """
     out: dict[int, str] = {}
-    clean = [x.strip(" \t\r\x0c\xa0​") for x in lines]
+    clean = [x.strip(" \t\r\x0c\xa0\u200b") for x in lines]
+    full = [i for i, x in enumerate(clean) if x]
+    place = {i: k for k, i in enumerate(full)}
+    feed = {i for i, x in enumerate(lines) if "\x0c" in x}
     styles: dict[str, list[tuple[int, int]]] = {}
-    for i, x in enumerate(clean):
-        m = PAGE.fullmatch(x) if x and len(x) <= 24 else None
+    for i in full:
+        x = clean[i]
+        m = PAGE.fullmatch(x) if len(x) <= 24 else None
         if m:
-            n = next(g for k, g in enumerate(m.groups(), 1) if g and k != 3)
-            at = m.start(next(k for k, g in enumerate(m.groups(), 1) if g and k != 3))
-            kind = "r" if not n.isdigit() else "d"
-            style = re.sub(r"\d+", "#", x[:at].lower()) + kind + re.sub(r"\d+", "#", x[at + len(n) :].lower())
+            k = next(k for k, g in enumerate(m.groups(), 1) if g and k != 3)
+            n, at = m.group(k), m.start(k)
+            style = re.sub(r"\d+", "#", x[:at].lower()) + ("d" if n.isdigit() else "r") + re.sub(r"\d+", "#", x[at + len(n) :].lower())
             styles.setdefault(style, []).append((i, page_value(n)))
-    for style, found in styles.items():
-        bare = style in ("d", "r")
-        # the longest run of values that rise by one; a bare number or numeral alone must not be the last line of a sentence
-        by_value: dict[int, list[int]] = {}
-        for k, (_, v) in enumerate(found):
-            by_value[v] = [*by_value.get(v - 1, []), k] if len(by_value.get(v - 1, [])) + 1 > len(by_value.get(v, [])) else by_value[v]
-        best = max(by_value.values(), key=len)
-        if len(best) >= 2 or not bare or len(found) == 1:
-            for k in best if bare else range(len(found)):
-                i, v = found[k]
-                if len(best) == 1 and bare and not (v <= 999 and _apart(clean, i)):
-                    continue
-                out[i] = "page_number"
+    bare = {s: styles.pop(s) for s in ("d", "r") if s in styles}
+    for found in styles.values():
+        out.update(dict.fromkeys((i for i, _ in found), "page_number"))
+    maybe = {i for found in bare.values() for i, _ in found}
     forms: dict[str, list[tuple[int, int | None]]] = {}
-    for i, x in enumerate(clean):
-        if not x or i in out:
+    for i in full:
+        x = clean[i]
+        if i in out or i in maybe:
             continue
         forms.setdefault(x.lower(), []).append((i, None))
         for rx, name, num, body in ((TAIL_NUMBER, "t", 2, 1), (HEAD_NUMBER, "h", 1, 2)):
             m = rx.match(x)
             if m and len(m.group(body)) >= 6:
-                forms.setdefault(f"{name}\x00{re.sub(r'\\s+', ' ', m.group(body)).lower()}", []).append((i, page_value(m.group(num))))
+                forms.setdefault(name + "\x00" + re.sub(r"\s+", " ", m.group(body)).lower(), []).append((i, page_value(m.group(num))))
     for form, found in forms.items():
-        if len(found) < 2 or any(i in out and out[i] == "page_number" for i, _ in found):
-            continue
         where = [i for i, _ in found]
-        if "\x00" in form:
-            values = [v for _, v in found]
-            if not (_rising(values) or (len(set(values)) == len(values) and values == sorted(values) and values[-1] - values[0] <= 2 * len(values))):
-                continue
-        elif len(form) < 5 or form[-1] in ".,;" or not (clean[where[0]][0].isupper() or clean[where[0]][0].isdigit()) or min(b - a for a, b in zip(where, where[1:], strict=False)) < 3:
+        if len(found) < 2 or ("\x00" in form and not _rising([v for _, v in found])):
+            continue
+        first = clean[where[0]][0]
+        if "\x00" not in form and (len(form) < 5 or form[-1] in ".,;" or not (first.isupper() or first.isdigit()) or min(b - a for a, b in zip(where, where[1:], strict=False)) < 2):
             continue
         for i in where:
             out.setdefault(i, "running_line")
+
+    def edge(i: int) -> bool:
+        k = place[i]
+        near = [full[k + d] for d in (-1, 1) if 0 <= k + d < len(full)]
+        return len(near) < 2 or any(j in out for j in near) or bool({i, i - 1, i + 1} & feed)
+
+    for found in bare.values():
+        chain = _chain(found)
+        for k in range(len(found)):
+            i, v = found[k]
+            if (k in chain and len(chain) >= 2) or (v <= 999 and edge(i)):
+                out[i] = "page_number"
+    known = {_bare_form(clean[i]) for i, kind in out.items() if kind == "running_line"}
+    widest = max((len(clean[i]) for i in full), default=0)
+    for _ in range(2):
+        loose = [i for i in full if i not in out and clean[i][-1] not in ".,;" and (clean[i][0].isupper() or clean[i][0].isdigit()) and len(clean[i]) >= 6 and edge(i)]
+        titles = [i for i in full if out.get(i) != "page_number" and i not in maybe and len(clean[i]) >= 6 and clean[i][-1] not in ".,;" and (clean[i][0].isupper() or clean[i][0].isdigit()) and (len(clean[i]) < 0.9 * widest or i in feed)]
+        for i in loose:
+            x = _bare_form(clean[i])
+            if any(_alike(x, y) for y in known):
+                out[i] = "running_line"
+                continue
+            if len(clean[i]) < 0.9 * widest or i in feed:
+                twin = next((j for j in titles if abs(j - i) > 2 and j not in out and _alike(x, _bare_form(clean[j]))), None)
+                if twin is not None:
+                    out[i] = out[twin] = "running_line"
+                    known.add(x)
+        # lines with a number set apart at either end carry the page's number, at whatever place they stand
+        for i in titles:
+            if i in out or not NUMBERED.search(clean[i]):
+                continue
+            twin = next((j for j in titles if j != i and abs(j - i) > 2 and clean[j] != clean[i] and (NUMBERED.search(clean[j]) or j in out) and _alike(_bare_form(clean[i]), _bare_form(clean[j]))), None)
+            if twin is not None:
+                out[i] = out[twin] = "running_line"
+        for found in bare.values():
+            for i, v in found:
+                if i not in out and v <= 999 and edge(i):
+                    out[i] = "page_number"
     return out
 
 
-def _apart(clean: list[str], i: int) -> bool:
-    """Whether a short line stands apart: the line before it is full or blank, not the end of a wrapped sentence that it completes."""
-    before = next((clean[k] for k in range(i - 1, -1, -1) if clean[k]), "")
-    return i == 0 or i == len(clean) - 1 or not clean[i - 1] or not clean[i + 1] or before[-1:] in ".!?:" or not clean[i + 1][:1].isupper()
+def _alike(a: str, b: str) -> bool:
+    """Equal up to a few recognition errors."""
+    if abs(len(a) - len(b)) > max(3, len(a) // 6):
+        return False
+    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
+    return m.real_quick_ratio() >= 0.82 and m.quick_ratio() >= 0.82 and m.ratio() >= 0.82
 
 
 def count_words(texts: DataFrame) -> np.ndarray:
@@ -231,7 +290,7 @@ def _core(token: str) -> tuple[int, str]:
 def _suspect(word: str) -> bool:
     """Whether a word may be misread at all: letters, perhaps with a few read as digits or signs, but no code, number or name of a field."""
     letters = sum(c.isalpha() for c in word)
-    return len(word) >= 2 and letters >= 1 and letters * 2 >= len(word) and "_" not in word and not (any(c.isdigit() for c in word) and word.upper() == word and len(word) > 3)
+    return len(word) >= 3 and letters >= 1 and letters * 2 >= len(word) and "_" not in word and not (any(c.isdigit() for c in word) and word.upper() == word and len(word) > 3)
 
 
 class Page:
@@ -278,13 +337,14 @@ def _sequence(channel: Channel, row: list[str], options: dict[str, list[tuple[st
     for cell in lattice:
         nxt, from_ = [], []
         for w, p, c in cell:
-            unigram = (c + 0.01) / channel.total
+            unigram = (c + UNSEEN) / channel.total
             top = (-1e18, 0)
             for k, (v, _, cv) in enumerate(before):
                 q = unigram
                 if v and cv and (len(cell) > 1 or len(before) > 1):
                     both = channel.pair_count(known[v], known[w]) if v in known and w in known else 0
-                    q = 0.6 * both / max(cv, both, 1) + 0.4 * unigram
+                    # a pair is no more frequent than its words; this undoes most collisions of the hashed table
+                    q = 0.6 * min(both, c, cv) / cv + 0.4 * unigram
                 s = best[k][0] + math.log(q)
                 if s > top[0]:
                     top = (s, k)
@@ -323,7 +383,7 @@ def repair(texts: list[str], channel: Channel) -> list[dict]:
     for w, r in reach.items():
         good = [(c, p, cand_count[c]) for c, p in r.items() if cand_count.get(c, 0) >= KNOWN and len(c) >= 2]
         if good:
-            options[w] = [(w, math.log(CLEAR), count.get(w, 0)), *sorted(good, key=lambda x: -(x[1] + math.log(x[2])))[:8]]
+            options[w] = [(w, math.log(CLEAR), 0), *sorted(good, key=lambda x: -(x[1] + math.log(x[2])))[:8]]
     known = hashes | cand
     pairs = list({(b[2].lower(), b[3].lower()) for p in pages if p for b in p.breaks})
     hyphen = dict(zip(pairs, channel.hyphened(pairs), strict=True))
@@ -361,8 +421,11 @@ def repair(texts: list[str], channel: Channel) -> list[dict]:
                 line = i if _changed(word, fixed) < len(a) else j
                 result["defects"].add((line, "misread"))
                 result["fixes"].setdefault(line, []).append((word, fixed))
+        said = [w for _, row in p.words for w in row]
+        prose = sum(count.get(w, 0) >= KNOWN for w in said) >= 0.7 * len(said)
         for i, row in p.words:
-            if not any(w in options for w in row):
+            # a line that is mostly unknown is no text of the language at all
+            if not any(w in options for w in row) or (2 * sum(count.get(w, 0) >= KNOWN for w in row) < len(row) and not (prose and len(row) <= 4)):
                 continue
             for read, true in zip(row, _sequence(channel, row, options, known, count), strict=True):
                 if read != true:
