@@ -13,7 +13,19 @@ from ..functions import paths as P
 from ..plans.topk import with_ordinal
 
 
-def scan(spark: SparkSession, root: str, exts: list[str] | None = None, content: bool = False, max_files: int | None = None) -> DataFrame:
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path, size, mtime`` of files without bytes, which file sources leave out; the listing streams through the driver and only these are kept."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    it = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    rows = []
+    while it.hasNext():
+        f = it.next()
+        if f.getLen() == 0:
+            rows.append((f.getPath().toString(), 0, f.getModificationTime() / 1000))
+    return spark.createDataFrame(rows, "path string, size bigint, mtime double")
+
+
+def scan(spark: SparkSession, root: str, exts: list[str] | None = None, content: bool = False, max_files: int | None = None, with_empty: bool = True) -> DataFrame:
     """``ordinal, path, size, mtime[, content]`` of a folder tree in path order. Without ``content`` no file is opened.
 
     ``max_files`` keeps the first files in path order (the feature of a capped scan).
@@ -21,6 +33,9 @@ def scan(spark: SparkSession, root: str, exts: list[str] | None = None, content:
     d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     cols = [F.col("path"), F.col("length").alias("size"), (F.unix_micros("modificationTime") / 1e6).alias("mtime")]
     d = d.select(*cols, *(["content"] if content else []))
+    if with_empty:
+        none = empty_files(spark, root)
+        d = d.unionByName(none.withColumn("content", F.lit(b"")) if content else none)
     if exts:
         d = d.where(P.ext(F.col("path")).isin(*exts))
     if max_files is not None:
