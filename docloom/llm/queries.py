@@ -12,6 +12,7 @@ from .eval_leaks import eval_leaks
 from .incremental import match_batches
 from .layout_copies import layout_copies
 from .near_duplicates import near_duplicate_groups
+from .oracles import SQL
 from .reading_level import reading_bands, reading_levels
 from .scan_repair import repair_scans
 from .splitting import split_texts
@@ -110,4 +111,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
