@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import shutil
 import tempfile
 import uuid
@@ -20,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
     have = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not have:
+        if not is_local(spark):
+            raise RuntimeError(f"{CHECKPOINT_CONF} names no folder that all executors share")
         have = "file://" + tempfile.mkdtemp(prefix="docloom-shared-")
         spark.conf.set(CHECKPOINT_CONF, have)
     return have.rstrip("/")
@@ -79,7 +80,3 @@ def attach_group(rows: DataFrame, keys: list[str], aggs: dict[str, Column], n_ro
 
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
