@@ -815,6 +815,88 @@ def transfer_counts(spark, sf):
     return _t(spark, sf, "file_state").groupBy("status").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
 
 
+LOG = "'[' || coalesce(file_ext, '') || '] Empty parse: ' || " + q_base("source_path")
+
+
+@query(f"WITH l AS (SELECT {LOG} AS value FROM parsed_document WHERE {q_strip(_TX)} = '' OR parse_quality < 0.5) SELECT lower(regexp_extract(value, '^\\[\\.?([^\\]]+)\\]\\s*([^:]+):\\s*(.*)$', 1)) AS ext, regexp_extract(value, '^\\[\\.?([^\\]]+)\\]\\s*([^:]+):\\s*(.*)$', 2) AS cause, count(*) AS failures FROM l WHERE regexp_extract(value, '^\\[\\.?([^\\]]+)\\]\\s*([^:]+):\\s*(.*)$', 1) <> '' GROUP BY 1, 2")
+def failure_log(spark, sf):
+    """Failure lines by extension and cause."""
+    d = _t(spark, sf, "parsed_document").where((P.strip(F.coalesce("text", F.lit(""))) == "") | (F.col("parse_quality") < 0.5))
+    log = d.select(F.concat(F.lit("["), F.coalesce("file_ext", F.lit("")), F.lit("] Empty parse: "), P.basename(F.col("source_path"))).alias("value"))
+    return artifacts.failure_lines(log).groupBy("ext", "cause").agg(F.count(F.lit(1)).alias("failures"))
+
+
+KEYS = ["user_id", "value", "chunk_id"]
+
+
+@query("SELECT event_id, array_to_string(list_filter(['user_id', 'value', 'chunk_id'], lambda k: NOT list_contains(json_keys(j), k)), ',') AS missing FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN json_object('user_id', user_id, 'value', value) ELSE json_object('user_id', user_id) END AS j FROM events)")
+def missing_keys(spark, sf):
+    """Required keys that a JSON row lacks."""
+    e = _t(spark, sf, "events")
+    j = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct("user_id", "value"))).otherwise(F.to_json(F.struct("user_id")))
+    return e.select("event_id", F.array_join(F.array_except(F.array(*map(F.lit, KEYS)), F.json_object_keys(j)), ",").alias("missing"))
+
+
+@query(f"SELECT file_id, CASE WHEN starts_with({q_norm('path')}, 'X:/intake/') THEN '/mirror/' || substring({q_norm('path')}, 11) ELSE {q_norm('path')} END AS path FROM delta_path")
+def path_relocation(spark, sf):
+    return _t(spark, sf, "delta_path").select("file_id", P.relocate(F.col("path"), "X:\\intake", "/mirror").alias("path"))
+
+
+@query("WITH r AS (SELECT batch_no, count(*) AS delta_files, count(*) FILTER (WHERE delta_kind IS NULL) AS failed FROM delta_path GROUP BY 1) SELECT batch_no, CASE WHEN delta_files = 0 THEN 'no_delta' WHEN delta_files < 5 THEN 'failed_no_canary' WHEN failed > 0 THEN 'transfer_partial' WHEN batch_no % 7 = 0 THEN 'pipeline_failed' ELSE 'success' END AS status FROM r")
+def ingest_status(spark, sf):
+    r = _t(spark, sf, "delta_path").groupBy("batch_no").agg(F.count(F.lit(1)).alias("delta_files"), F.count_if(F.col("delta_kind").isNull()).alias("failed"))
+    return r.select("batch_no", delta.ingest_status(F.col("delta_files"), F.col("delta_files") >= 5, F.col("failed"), F.col("batch_no") % 7 == 0).alias("status"))
+
+
+@query("SELECT kind, name, n FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name) AS k FROM (SELECT 'protocol' AS kind, event_type AS name, count(*) AS n FROM events GROUP BY 2 UNION ALL SELECT 'source', user_id::VARCHAR, count(*) FROM events GROUP BY 2)) WHERE k <= 10")
+def capture_summary(spark, sf):
+    """Top ten protocols and sources of a capture."""
+    from pyspark.sql import Window as W
+
+    e = _t(spark, sf, "events")
+    x = F.explode(F.array(F.struct(F.lit("protocol").alias("kind"), F.col("event_type").alias("name")), F.struct(F.lit("source").alias("kind"), F.col("user_id").cast("string").alias("name"))))
+    n = e.select(x.alias("x")).select("x.*").groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("k", F.row_number().over(W.partitionBy("kind").orderBy(F.desc("n"), "name"))).where("k <= 10").drop("k")
+
+
+@query(f"WITH {DEC}, d AS (SELECT file_id, canonical_path FROM x WHERE status = 'duplicate') SELECT d.file_id, p.file_id AS canonical_id, p.parse_quality FROM d JOIN fingerprinted_document p ON {q_norm('d.canonical_path')} = {q_norm('p.path')}")
+def duplicates_with_canonical(spark, sf):
+    """Duplicates joined with the row of the file they point to."""
+    d = _decisions(spark, sf).where("status = 'duplicate'").select("file_id", P.norm_path(F.col("canonical_path")).alias("p"))
+    f = _t(spark, sf, "fingerprinted_document").select(P.norm_path(F.col("path")).alias("p"), F.col("file_id").alias("canonical_id"), "parse_quality")
+    return d.join(f, "p").select("file_id", "canonical_id", "parse_quality")
+
+
+_RUN = "list_filter(list_transform(regexp_extract_all(text, '[\\t\\n\\r -~]{8,}'), lambda x: " + q_strip("x") + "), lambda x: length(x) > 8 AND length(regexp_replace(x, '[^A-Za-z\\s]', '', 'g')) * 2 > length(x))"
+
+
+@query(f"SELECT file_id, array_to_string({_RUN}, chr(10)) AS text FROM parsed_document WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7f]*$')")
+def byte_runs(spark, sf):
+    """Printable runs of the texts' bytes."""
+    d = _t(spark, sf, "parsed_document").where(F.col("text").isNotNull() & F.rlike("text", F.lit(r"^[\x00-\x7f]*$")))
+    return d.select("file_id", T.byte_runs(F.encode("text", "UTF-8")).alias("text"))
+
+
+_XML = "'<r><s>' || coalesce(source, '') || '</s>' || chr(10) || '<i> ' || n_chars || '</i></r>'"
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace({_XML}, '<[^>]+>', chr(10), 'g'), chr(10)), lambda x: {q_strip('x')}), lambda x: x <> ''), chr(10)) AS xml_text FROM documents")
+def xml_text(spark, sf):
+    x = F.concat(F.lit("<r><s>"), F.coalesce("source", F.lit("")), F.lit("</s>\n<i> "), F.col("n_chars").cast("string"), F.lit("</i></r>"))
+    return _t(spark, sf, "documents").select("doc_id", T.xml_text(x).alias("xml_text"))
+
+
+_LU = "list_distinct(list_filter(string_split(normalized_text, chr(10)), lambda x: x <> ''))"
+
+
+@query(f"WITH f AS (SELECT file_id, normalized_hash, {_LU} AS u FROM fingerprinted_document WHERE normalized_hash <> '' AND normalized_text <> ''), m AS (SELECT normalized_hash, min(file_id) AS first FROM f GROUP BY 1 HAVING count(*) > 1) SELECT a.file_id AS first, b.file_id, round(len(list_intersect(a.u, b.u)) / least(len(a.u), len(b.u)), 4) AS line_similarity FROM m JOIN f a ON a.file_id = m.first JOIN f b ON b.normalized_hash = m.normalized_hash AND b.file_id > m.first")
+def copies_with_first(spark, sf):
+    """Line containment of each copy with the first document of its normalized hash; one row a copy, not a pair."""
+    f = _t(spark, sf, "fingerprinted_document").where("normalized_hash <> '' and normalized_text <> ''").select("file_id", "normalized_hash", T.line_units(F.col("normalized_text")).alias("u"))
+    first = f.groupBy("normalized_hash").agg(F.min(F.struct("file_id", "u")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("normalized_hash", F.col("f.file_id").alias("first"), F.col("f.u").alias("fu"))
+    return f.join(first, "normalized_hash").where("file_id > first").select("first", "file_id", F.round(T.containment(F.col("fu"), F.col("u")), 4).alias("line_similarity"))
+
+
 @query()
 def token_batches(spark, sf):
     """Token-budget batches inside hash parts, in order of doc_id; tested against brute force."""

@@ -115,3 +115,36 @@ def copy_verified(files: DataFrame, to_root: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(rel), pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64())], ["rel", "status", "bytes"])
 
     return files.select("path", "rel").mapInArrow(run, "rel string, status string, bytes bigint")
+
+
+def write_dedup_index(decisions: DataFrame, path: str) -> dict:
+    """Decision table partitioned by status, canonical list, duplicate list, and a report with reason counts and reduction."""
+    decisions.write.mode("overwrite").partitionBy("status").parquet(f"{path}/decisions")
+    decisions.where("status = 'canonical'").select("path").orderBy(F.lower("path")).write.mode("overwrite").text(f"{path}/canonical_files")
+    write_jsonl(decisions.where("status = 'duplicate'"), f"{path}/duplicate_files.jsonl")
+    by = {r["dedup_reason"]: r["n"] for r in decisions.groupBy("dedup_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    r = decisions.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "duplicate").alias("d")).first()
+    report = {"files": r["n"], "duplicates": r["d"], "reasons": by, "reduction_pct": round(100.0 * r["d"] / r["n"], 2) if r["n"] else 0.0}
+    write_json(report, f"{path}/dedup_report.json")
+    return report
+
+
+def write_json(payload: dict, path: str) -> None:
+    p = Path(path.removeprefix("file://"))
+    p.parent.mkdir(parents=True, exist_ok=True)
+    p.write_text(json.dumps(payload, indent=2, ensure_ascii=False, default=str), "utf-8")
+
+
+def write_report(df: DataFrame, path: str, title: str, top: int = 200) -> None:
+    """A table as JSON lines and CSV, and its first ``top`` rows as Markdown for readers."""
+    write_jsonl(df, f"{path}/rows.jsonl")
+    df.write.mode("overwrite").option("header", True).csv(f"{path}/rows.csv")
+    cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
+    lines = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
+    lines += ["| " + " | ".join(cell(v) for v in r) + " |" for r in df.limit(top).collect()]
+    Path(f"{path.removeprefix('file://')}/report.md").write_text("\n".join(lines) + "\n", "utf-8")
+
+
+def write_path_list(df: DataFrame, path: str, col: str = "path") -> None:
+    """One path a line, distinct and ordered: the input list of a later run."""
+    df.select(F.col(col).alias("value")).distinct().orderBy("value").write.mode("overwrite").text(path)
