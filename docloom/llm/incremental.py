@@ -21,15 +21,22 @@ from pyspark.sql import functions as F
 
 from ..plans.shared import materialize, ship_package
 from .hashing import U, blocks, mix, shingles, word_hashes
-from .near_duplicates import K, occurrence, verified
+from .near_duplicates import K, verified
 from .sketches import merged_table, spread
 
-COUNT_BITS = 20
+LEAST_BITS, MOST_BITS = 16, 24
+CELLS_PER_TEXT = 32
 POSTING = "token bigint, id bigint, pos int, n int"
 
 
-def token_counts(texts: DataFrame, bits: int = COUNT_BITS) -> np.ndarray:
-    """Hashed counts of the 5-grams of all ``texts`` (id, text): ``2 ** bits`` cells, however many texts there are."""
+def token_counts(texts: DataFrame, bits: int | None = None) -> np.ndarray:
+    """Hashed counts of the 5-grams of all ``texts`` (id, text).
+
+    The table has about ``CELLS_PER_TEXT`` cells a text, at least ``2 ** LEAST_BITS`` and at most ``2 ** MOST_BITS`` (64 MB, the proven bound of
+    what is broadcast). Fuller cells only make the order of tokens coarser, never a result.
+    """
+    if bits is None:
+        bits = min(MOST_BITS, max(LEAST_BITS, (max(1, texts.count()) * CELLS_PER_TEXT).bit_length() - 1))
 
     def fold(table: np.ndarray, b: pa.RecordBatch) -> None:
         t = b.column(1).to_pylist()
@@ -182,4 +189,4 @@ def match_batches(
     return found.groupBy("id").agg(F.min("first").alias("first_file_id")).select("first_file_id", F.col("id").alias("file_id"))
 
 
-__all__ = ["PrefixIndex", "match_batches", "occurrence", "ordered_tokens", "token_counts"]
+__all__ = ["PrefixIndex", "match_batches", "ordered_tokens", "token_counts"]
