@@ -21,12 +21,16 @@ def norm_path(c: Column) -> Column:
 
 
 def basename(c: Column) -> Column:
-    return F.regexp_extract(norm_path(c), r"[^/]*$", 0)
+    return F.substring_index(norm_path(c), "/", -1)
 
 
 def ext(c: Column) -> Column:
     """Last dot suffix, lower-cased; empty for names without one, for names that only begin with dots and for a trailing dot."""
-    return F.lower(F.regexp_extract(basename(c), r"[^.].*(\.[^.]+)$", 1))
+    b = basename(c)
+    last = F.substring_index(b, ".", -1)
+    before = F.substring(b, F.lit(1), F.length(b) - F.length(last) - 1)
+    real = (last != "") & (F.length(last) < F.length(b)) & (F.btrim(before, F.lit(".")) != "")
+    return F.when(real, F.lower(F.concat(F.lit("."), last))).when(b.isNotNull(), "")
 
 
 def ext_or(c: Column, label: str) -> Column:
@@ -41,7 +45,8 @@ def stem(c: Column) -> Column:
 
 
 def parent(c: Column) -> Column:
-    return F.regexp_extract(norm_path(c), r"^(.*)/[^/]*$", 1)
+    p = norm_path(c)
+    return F.when(F.instr(p, "/") > 0, F.substring(p, F.lit(1), F.length(p) - F.length(basename(c)) - 1)).when(p.isNotNull(), "")
 
 
 def parts(c: Column) -> Column:

@@ -60,10 +60,10 @@ def integrity(chunks: DataFrame, vectors: DataFrame, entities: DataFrame, manife
     lost = chunks.select(key).join(vectors.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("without_vector"))
     orphan = entities.select(key).join(chunks.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("orphan_entities"))
     m = manifest.agg(F.first("chunk_count").alias("m_chunks"), F.first("entity_count").alias("m_entities"))
-    # scalar sub-results of one row each
+    # the other parts are scalar subqueries of one row each
     one = c
     for part in (v, e, lost, orphan, m):
-        one = one.join(F.broadcast(part), F.lit(True))
+        one = one.withColumns({k: part.select(k).scalar() for k in part.columns})
     issue = lambda bad, name: F.when(bad, name)
     issues = [issue(F.col("chunks") != F.col("m_chunks"), "chunk_count_mismatch"), issue(F.col("entities") != F.col("m_entities"), "entity_count_mismatch"), issue(F.col("vectors") != F.col("chunks"), "vector_count_mismatch"), issue(F.col("distinct_ids") != F.col("chunks"), "duplicate_chunk_ids"), issue(F.col("without_vector") > 0, "chunks_without_vector"), issue(F.col("dims") > 1, "mixed_vector_dims")]
     if skip_total is not None:

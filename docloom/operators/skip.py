@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from ..functions.text import let
 
 #: fixed values: OCR side products by suffix
 OCR_SIDECARS = ("_djvu.xml", "_djvu.txt", "_hocr.html", "_marc.xml", "_meta.xml", "_scandata.xml", "_page_numbers.json", ".info.json", "_dc.xml", "_reviews.xml", "_toc.xml", "_mods.xml", "_extramarc.xml", "_asr.json", ".autogenerated.txt", "_ocr.pdf", "_ocr.txt")
@@ -54,9 +55,12 @@ def encrypted_bytes(header: Column, ext: Column) -> Column:
 
 
 def skip_reason(path: Column, size: Column, policy: SkipPolicy, header: Column | None = None) -> Column:
-    """Reason of the first rule that hits, or null."""
-    name, e = P.basename(path), P.ext(path)
-    low = F.lower(name)
+    """Reason of the first rule that hits, or null. Name and extension are computed once for all rules."""
+    facts = F.struct(P.basename(path).alias("name"), F.lower(P.basename(path)).alias("low"), P.ext(path).alias("ext"), size.alias("size"), (F.lit(None).cast("binary") if header is None else header).alias("header"))
+    return let(facts, lambda f: F.coalesce(*_rules(f["name"], f["low"], f["ext"], f["size"], None if header is None else f["header"], policy), F.lit(None).cast("string")))
+
+
+def _rules(name: Column, low: Column, e: Column, size: Column, header: Column | None, policy: SkipPolicy) -> list[Column]:
     rules = []
     if policy.zero_byte:
         rules.append(F.when(size == 0, "zero-byte file"))
@@ -70,8 +74,7 @@ def skip_reason(path: Column, size: Column, policy: SkipPolicy, header: Column |
         if header is not None:
             rules.append(F.when(encrypted_bytes(header, e), "encrypted file (magic bytes)"))
         rules += [F.when(F.rlike(low, F.lit(rf"(?:^|[^a-z0-9]){t}(?:$|[^a-z0-9])")), F.lit(f"encrypted file (filename cue: '{t}')")) for t in policy.cues]
-    rules += [F.when(e == x, F.lit(r)) for x, r in policy.deferred.items()]
-    return F.coalesce(*rules, F.lit(None).cast("string"))
+    return rules + [F.when(e == x, F.lit(r)) for x, r in policy.deferred.items()]
 
 
 def skip_records(files: DataFrame, policy: SkipPolicy, state: DataFrame | None = None) -> DataFrame:

@@ -210,7 +210,8 @@ SKIPPED = f"{LATEST_STATE}, s AS (SELECT file_id, path, size, {_q_reason(POLICY)
 
 def _skipped(spark, sf):
     f = exact_dedup.latest_state(_t(spark, sf, "file_state")).select("file_id", "path", "size", "mtime")
-    return f.withColumn("reason", skip.skip_reason(F.col("path"), F.col("size"), POLICY)).where("reason is not null").withColumn("status", F.when(P.ext(F.col("path")).isin(*POLICY.deferred), "deferred").otherwise("skipped"))
+    f = f.withColumn("reason", skip.skip_reason(F.col("path"), F.col("size"), POLICY)).where("reason is not null")
+    return f.withColumn("status", F.when(P.ext(F.col("path")).isin(*POLICY.deferred), "deferred").otherwise("skipped"))
 
 
 @query(f"WITH {SKIPPED} SELECT file_id, path, size, reason, status FROM s WHERE reason IS NOT NULL")
@@ -637,7 +638,7 @@ def review_families(spark, sf):
 def dedup_reason_counts(spark, sf):
     x = _decisions(spark, sf)
     n = x.agg(F.count(F.lit(1)).alias("n"))
-    return x.groupBy("dedup_reason").agg(F.count(F.lit(1)).alias("files")).join(F.broadcast(n), F.lit(True)).select("dedup_reason", "files", F.round(F.col("files") * 100.0 / F.col("n"), 2).alias("share"))
+    return x.groupBy("dedup_reason").agg(F.count(F.lit(1)).alias("files")).select("dedup_reason", "files", F.round(F.col("files") * 100.0 / n.scalar(), 2).alias("share"))
 
 
 # --- export analytics -------------------------------------------------------------------------------------------------------------
