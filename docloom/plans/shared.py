@@ -78,5 +78,14 @@ def attach_group(rows: DataFrame, keys: list[str], aggs: dict[str, Column], n_ro
     return hot_rows.unionByName(cold.join(totals.drop("_n"), keys, "left").select(*rows.columns, *aggs))
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for costly narrow stages over inputs of few splits.
+
+    Inputs with enough splits, the rule at scale, are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
