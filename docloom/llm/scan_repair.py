@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import ship_package
+from ..plans.shared import ship_package, widen
 from .hashing import U, blocks, mix, word_hashes
 from .sketches import merged_table, spread
 
@@ -511,7 +511,7 @@ def repair_scans(docs: DataFrame, id_col: str = "file_id", text_col: str = "text
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("file_id"), F.col(text_col).alias("text")).where("file_id is not null")
+    rows = widen(docs.select(F.col(id_col).cast("bigint").alias("file_id"), F.col(text_col).alias("text")).where("file_id is not null"))
     shared = spread(docs, count_words(rows.select("text")))
     weights = _learn(rows.where("text is not null"), shared) if learn else None
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import ship_package
+from ..plans.shared import ship_package, widen
 
 #: penalties of a cut: between paragraphs, after a line, after a sentence, between words, within a word, between a heading and its text
 PARAGRAPH, LINE, SENTENCE, BLANK, HARD, HEADING = 0.0, 0.6, 0.3, 1.5, 6.0, 4.0
@@ -136,4 +136,4 @@ def split_texts(docs: DataFrame, runs: DataFrame, id_col: str = "file_id", text_
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["file_id", "piece_no", "pieces", "start", "end", "text"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("file_id"), F.col(text_col).alias("text"), F.col(run_col).alias("run")).where("file_id is not null and text is not null")
-    return rows.mapInArrow(run, "file_id bigint, piece_no int, pieces int, start bigint, end bigint, text string")
+    return widen(rows).mapInArrow(run, "file_id bigint, piece_no int, pieces int, start bigint, end bigint, text string")

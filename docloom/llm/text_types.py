@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import materialize, ship_package
+from ..plans.shared import materialize, ship_package, widen
 
 TYPES = ["prose", "list", "table", "junk"]
 #: fixed values: common words of running text
@@ -192,7 +192,7 @@ def text_types(docs: DataFrame, id_col: str = "file_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([b.column(0), *cols, pa.array([votes(r) if r[0] or r[3] else None for r in rows], pa.string())], ["file_id", *STATS, "votes"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("file_id"), F.col(text_col).alias("text")).where("file_id is not null")
-    table = materialize(rows.mapInArrow(run, schema))
+    table = materialize(widen(rows).mapInArrow(run, schema))
     counts = {r["votes"]: r["n"] for r in table.where("votes is not null").groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     post = learn_votes(counts)
     learned = spark.createDataFrame([(k, *map(float, p), TYPES[int(p.argmax())]) for k, p in post.items()], "votes string, " + ", ".join(f"p_{t} double" for t in TYPES) + ", kind string")
