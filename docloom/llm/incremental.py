@@ -1,12 +1,11 @@
 """New batches against all history (problem 1): an incremental inverted index of rare-token prefixes.
 
 Tokens are the distinct word 5-grams of a text, ordered by a hashed document count (fixed size, frozen with the
-index) and then by hash. A text of ``n`` tokens is posted under its first ``n - ceil(threshold * ratio * n) + 1``
-tokens; a batch text is probed with all of its tokens. By the prefix principle a batch text and a posted
-text whose sizes differ at most by ``ratio`` and that share at least ``threshold`` of the smaller one's tokens meet in a
-posting whose positions allow the overlap; every posted text smaller than the batch text is found at any ratio. A batch
-text below ``ratio`` of the posted text's size is found through any posted token, which the rarity order makes
-near certain, but is not guaranteed; a smaller ``ratio`` buys the guarantee with more postings.
+index) and then by hash. Of a batch text and a posted text that share at least ``threshold`` of the smaller one's ``n`` tokens, the first
+shared token is among the first ``n - ceil(threshold * n) + 1`` of the smaller one, so they meet at any ratio of their sizes:
+a smaller posted text is posted under that prefix and probed with all tokens of the batch text; a larger posted text is also posted
+under every token that the prefix of some batch text holds (bits of fixed size, see ``prefixes``). Positions that don't allow the
+overlap are dropped at once, and the exact overlap decides.
 """
 
 from __future__ import annotations
@@ -20,69 +19,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.shared import materialize, ship_package
-from .hashing import U, blocks, mix, shingles, word_hashes
+from .hashing import U, blocks, mix, word_hashes
 from .near_duplicates import K, verified
-from .sketches import merged_table, spread
+from .prefixes import POSTING, ordered_tokens, postings, prefix_bits, token_counts
+from .sketches import spread
 
-LEAST_BITS, MOST_BITS = 16, 24
-CELLS_PER_TEXT = 32
-POSTING = "token bigint, id bigint, pos int, n int"
-
-
-def token_counts(texts: DataFrame, bits: int | None = None) -> np.ndarray:
-    """Hashed counts of the 5-grams of all ``texts`` (id, text).
+class PrefixIndex:
+    """Inverted index over accepted texts. ``counts`` freezes the token order; ``append`` adds new texts only.
 
-    The table has about ``CELLS_PER_TEXT`` cells a text, at least ``2 ** LEAST_BITS`` and at most ``2 ** MOST_BITS`` (64 MB, the proven bound of
-    what is broadcast). Fuller cells only make the order of tokens coarser, never a result.
+    With a ``path`` all tokens of the new texts are posted there, as Parquet partitioned by token, since later batches may need any of
+    them; without, the texts are kept and only what a batch needs is posted when it is probed.
     """
-    if bits is None:
-        bits = min(MOST_BITS, max(LEAST_BITS, (max(1, texts.count()) * CELLS_PER_TEXT).bit_length() - 1))
-
-    def fold(table: np.ndarray, b: pa.RecordBatch) -> None:
-        t = b.column(1).to_pylist()
-        for i, j in blocks(t):
-            s, _, _ = shingles(*word_hashes(t[i:j]), K)
-            table += np.bincount((s >> U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
-
-    return merged_table(texts, 1 << bits, "uint32", fold, "sum")[0]
-
-
-def ordered_tokens(texts: list, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct tokens of each text from rare to common, and the offsets of the texts."""
-    bits = int(len(counts)).bit_length() - 1
-    s, doc, _ = shingles(*word_hashes(texts), K)
-    rank = (doc.astype(U) << U(32)) | counts[(s >> U(64 - bits)).astype(np.int64)].astype(U)
-    order = np.lexsort((s, rank))
-    s, doc = s[order], doc[order]
-    first = np.ones(len(s), bool)
-    first[1:] = (s[1:] != s[:-1]) | (doc[1:] != doc[:-1])
-    s, doc = s[first], doc[first]
-    return s, np.searchsorted(doc, np.arange(len(texts) + 1))
-
 
-def _postings(counts: Broadcast, share: float):
-    """Posting rows; ``share`` is the part of a text's tokens that any admissible partner must overlap (0: post all)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, texts = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
-            for i, j in blocks(texts):
-                s, off = ordered_tokens(texts[i:j], counts.value)
-                n = np.diff(off)
-                doc = np.repeat(np.arange(j - i), n)
-                pos = np.arange(len(s)) - off[:-1][doc]
-                keep = pos <= (n - np.ceil(share * n - 1e-9))[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(s[keep].view(np.int64)), pa.array(ids[i:j][doc[keep]]), pa.array(pos[keep], pa.int32()), pa.array(n[doc[keep]], pa.int32())], ["token", "id", "pos", "n"])
-
-    return run
-
-
-class PrefixIndex:
-    """Inverted index over accepted texts. ``counts`` freezes the token order; ``append`` adds postings of new texts only."""
-
-    def __init__(self, counts: np.ndarray, threshold: float = 0.9, ratio: float = 0.6, path: str | None = None) -> None:
-        self.counts, self.threshold, self.ratio, self.path = counts, threshold, ratio, path
-        self.postings: DataFrame | None = None
+    def __init__(self, counts: np.ndarray, threshold: float = 0.9, path: str | None = None) -> None:
+        self.counts, self.threshold, self.path = counts, threshold, path
+        self.texts: DataFrame | None = None
         self._bc: Broadcast | None = None
 
     def _counts(self, df: DataFrame) -> Broadcast:
@@ -90,22 +41,28 @@ class PrefixIndex:
         return self._bc
 
     def append(self, texts: DataFrame) -> PrefixIndex:
-        """Post new ``texts`` (id, text); nothing that is already in the index is read. With a ``path`` the postings are kept
-        there as Parquet, partitioned by token."""
+        """Post new ``texts`` (id, text); nothing that is already in the index is read."""
         ship_package(texts.sparkSession)
-        new = texts.mapInArrow(_postings(self._counts(texts), self.threshold * self.ratio), POSTING)
+        texts = texts.select("id", "text")
         if self.path:
+            new = texts.mapInArrow(postings(self._counts(texts), 0.0), POSTING)
             new.withColumn("bucket", F.pmod("token", F.lit(64)).cast("int")).write.mode("append").partitionBy("bucket").parquet(self.path)
-            self.postings = texts.sparkSession.read.parquet(self.path).select("token", "id", "pos", "n")
         else:
-            self.postings = new if self.postings is None else self.postings.unionByName(new)
+            self.texts = texts if self.texts is None else self.texts.unionByName(texts)
         return self
 
+    def _posted(self, batch: DataFrame) -> DataFrame:
+        if self.path:
+            return batch.sparkSession.read.parquet(self.path).select("token", "id", "pos", "n")
+        wanted = spread(batch, prefix_bits(batch, self._counts(batch), self.threshold))
+        return self.texts.mapInArrow(postings(self._counts(batch), self.threshold, wanted), POSTING)
+
     def probe(self, batch: DataFrame, allowed: Column | None = None) -> DataFrame:
         """Candidate pairs (a: batch id, b: posted id) whose positions allow the required overlap."""
-        tokens = batch.mapInArrow(_postings(self._counts(batch), 0.0), POSTING)
+        batch = batch.select("id", "text")
+        tokens = batch.mapInArrow(postings(self._counts(batch), 0.0), POSTING)
         probe = tokens.select("token", F.col("id").alias("a"), F.col("pos").alias("pa"), F.col("n").alias("na"))
-        index = self.postings.select("token", F.col("id").alias("b"), F.col("pos").alias("pb"), F.col("n").alias("nb"))
+        index = self._posted(batch).select("token", F.col("id").alias("b"), F.col("pos").alias("pb"), F.col("n").alias("nb"))
         need = F.ceil(F.lit(self.threshold) * F.least("na", "nb") - 1e-9)
         hits = probe.join(index, "token").where((F.col("a") != F.col("b")) & (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need))
         if allowed is not None:
@@ -150,7 +107,6 @@ def match_batches(
     prints: DataFrame,
     accepted: tuple[str, ...] = ("indexed", "duplicate"),
     threshold: float = 0.9,
-    ratio: float = 0.6,
     min_chars: int = 200,
     bloom_bits: int = 1 << 23,
 ) -> DataFrame:
@@ -173,7 +129,7 @@ def match_batches(
     classed = materialize(texts.mapInArrow(_classes, "id bigint, fresh boolean, text string, cls binary"))
     classes = materialize(_nearest(classed, "cls").withColumn("rep", F.least("old", "new")))
     reps = materialize(classed.join(classes.select(F.col("rep").alias("id"), "new"), "id").select("id", "text", F.col("new").isNotNull().alias("fresh")).dropDuplicates(["id"]))
-    index = PrefixIndex(token_counts(reps), threshold, ratio).append(reps)
+    index = PrefixIndex(token_counts(reps), threshold).append(reps)
     pairs = index.probe(reps.where("fresh"))
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = materialize(verified(pairs, reps.select("id", "text"), threshold, 24, bloom_bits).select("a", "b"))

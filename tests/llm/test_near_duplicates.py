@@ -170,3 +170,19 @@ def test_layout_copies_of_a_hot_text(spark):
     d = spark.range(1, 3001).selectExpr("id AS file_id", "CASE WHEN id % 3 = 0 THEN 'same  text' ELSE concat('text ', id) END AS normalized_text")
     rows = layout_copies(d).collect()
     assert len(rows) == 3000 and {(r["first"], r["copies"]) for r in rows if r["id"] % 3 == 0} == {(3, 1000)}
+
+
+@pytest.mark.parametrize("part", [0.15, 0.3, 0.5])
+def test_batch_fragments_of_longer_history_texts(spark, part):
+    from datetime import datetime as dt
+
+    rng = random.Random(21)
+    at = dt(2025, 1, 1)
+    long = {i: text(rng, 400) for i in range(1, 7)}
+    n = int(400 * part)
+    fragments = {100 + i: " ".join(t.split()[50 : 50 + n]) for i, t in long.items()}
+    state = [(i, "p", None, f"a{i}", None, 1, "indexed", at) for i in long]
+    delta = [(i, 1, "q", f"b{i}", at) for i in fragments]
+    prints = [(i, f"n{i}", t) for i, t in (long | fragments).items()]
+    out = match_batches(spark.createDataFrame(state, STATE), spark.createDataFrame(delta, DELTA), spark.createDataFrame(prints, PRINTS)).collect()
+    assert {(r["first_file_id"], r["file_id"]) for r in out} == {(i, 100 + i) for i in long}
