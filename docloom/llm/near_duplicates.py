@@ -8,8 +8,10 @@
    key costs time in proportion to its rows and is split over tasks by the sort.
 4. MinHash estimates drop chance meetings; banded alignment gives the edit similarity and the exact 5-gram
    containment decides.
-5. Components of the links are the groups; further rounds compare across the groups that still share keys until
+5. Components of the links are groups; further rounds compare across the groups that still share keys until
    no new link appears.
+6. Steps 2 to 5 only join most copies cheaply, so that hubs are one group each. An exact prefix join then compares all texts of different
+   groups that can share ``threshold`` of the smaller one's 5-grams, and its links complete the groups: none is left to chance.
 """
 
 from __future__ import annotations
@@ -25,13 +27,14 @@ from ..plans.components import connected_components
 from ..plans.shared import attach_group, discard, materialize, ship_package
 from .alignment import banded_distance
 from .hashing import U, blocks, mix, shingles, word_hashes
+from .prefixes import K, POSTING, postings, prefix_bits, token_counts
 from .sketches import get_bits, merged_table, set_bits, spread
 
-K = 5
 SIGS = 16
 GLOBAL_KEYS = 6
 SEGMENT_MASK = 15
 LEAST_SEGMENT = 6
+MARKS = 1024
 TOP = U(0xFFFFFFFFFFFFFFFF)
 ODD = [int(x) | 1 for x in mix(np.arange(1, SIGS + 1, dtype=U) * U(0x9E3779B97F4A7C15))]
 
@@ -194,7 +197,7 @@ def _plausible(threshold: float):
 
 
 def _payload(bits):
-    """Ordered 32-bit word values of the texts whose id is in the Bloom bits."""
+    """Ordered 32-bit word values of the texts whose id is in the Bloom bits, with the number of 5-grams and their marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
@@ -205,7 +208,27 @@ def _payload(bits):
             for i, j in blocks(texts):
                 h, off = word_hashes(texts[i:j])
                 w = (h >> U(32)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some[i:j]]), pa.array([w[x:y].tobytes() for x, y in zip(off[:-1], off[1:], strict=True)], pa.binary())], ["id", "words"])
+                s, doc, _ = shingles(mix(w.astype(U)), off, K)
+                marks = np.zeros((j - i, MARKS), bool)
+                marks[doc, (s % U(MARKS)).astype(np.int64)] = True
+                raw, grams = np.packbits(marks, axis=1), np.bincount(doc, minlength=j - i)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some[i:j]]), pa.array([w[x:y].tobytes() for x, y in zip(off[:-1], off[1:], strict=True)], pa.binary()), pa.array(grams, pa.int32()), pa.array([r.tobytes() for r in raw], pa.binary())], ["id", "words", "grams", "marks"])
+
+    return run
+
+
+def _possible(threshold: float):
+    """Drop only pairs that can't reach the threshold: each mark that the other text lacks is at least one 5-gram that it lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            na, nb = (b.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, MARKS // 8) for c in (4, 5))
+            lacks = lambda p, q, n: np.bitwise_count(p & ~q).sum(1) <= (1 - threshold) * n + 1e-9
+            t = b.filter(pa.array(lacks(x, y, na) | lacks(y, x, nb)))
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["a", "b"])
 
     return run
 
@@ -266,12 +289,34 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, band: int, bl
     """Links (a, b, similarity, edit_similarity) among candidate ``pairs`` (a, b) of ``texts`` (id, text)."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits = spread(pairs, bloom_of(ids, bloom_bits))
-    words = materialize(texts.mapInArrow(_payload(bits), "id bigint, words binary"))
+    words = materialize(texts.mapInArrow(_payload(bits), "id bigint, words binary, grams int, marks binary"))
+    marks = lambda c: words.select(F.col("id").alias(c), F.col("grams").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
+    pairs = pairs.join(marks("a"), "a").join(marks("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_possible(threshold), "a bigint, b bigint")
     left = words.select(F.col("id").alias("a"), F.col("words").alias("wa"))
     right = words.select(F.col("id").alias("b"), F.col("words").alias("wb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(threshold, band), "a bigint, b bigint, similarity double, edit_similarity double")
 
 
+def _across_groups(texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``texts`` (id, text, grp) in different groups whose positions allow an overlap of ``threshold`` of the smaller one's tokens.
+
+    The smaller text's prefix meets all tokens of the larger one. Tokens of a single group are dropped first, and what meets
+    under a token are groups before rows, so that a token of a large group costs nothing within the group.
+    """
+    counts = spread(texts, token_counts(texts))
+    wanted = spread(texts, prefix_bits(texts, counts, threshold))
+    posted = materialize(texts.mapInArrow(postings(counts, threshold, wanted), f"{POSTING}, grp bigint"))
+    several = posted.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
+    rows = materialize(posted.join(several, "token"))
+    discard(posted)
+    need = lambda n: F.ceil(F.lit(threshold) * n - 1e-9)
+    small = rows.where(F.col("pos") <= F.col("n") - need(F.col("n"))).select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("grp").alias("ga"))
+    large = rows.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("grp").alias("gb"))
+    meet = small.select("token", "ga").distinct().join(large.select("token", "gb").distinct(), "token").where("ga <> gb")
+    pairs = meet.join(small, ["token", "ga"]).join(large, ["token", "gb"]).where((F.col("na") <= F.col("nb")) & (F.col("pb") <= F.col("nb") - need(F.col("na"))))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     id_col: str = "file_id",
@@ -321,6 +366,11 @@ def near_duplicate_groups(
         if group is not None and done is not likely:
             discard(group)
         group = materialize(one.join(several, "key").select("key", "near", "id", "grp"))
+    comps = connected_components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("c"))
+    groups = reps.select("id").join(comps, "id", "left").select("id", F.coalesce("c", "id").alias("grp"))
+    own = materialize(texts.join(groups, "id").dropDuplicates(["id"]).select("id", "text", "grp"))
+    rest = materialize(_across_groups(own, threshold).join(done, ["a", "b"], "left_anti"))
+    links = links.unionByName(materialize(verified(rest, own.select("id", "text"), threshold, band, bloom_bits)))
     comps = connected_components(links, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("root"))
     ends = links.select(F.col("a").alias("rep"), "similarity", "edit_similarity").unionByName(links.select(F.col("b").alias("rep"), "similarity", "edit_similarity"))
     best = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("links"), F.max("similarity").alias("best"), F.max("edit_similarity").alias("best_edit"))

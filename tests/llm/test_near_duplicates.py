@@ -84,6 +84,26 @@ def test_hub_with_many_edited_copies(spark):
     assert got == brute(rows)
 
 
+def test_template_that_holds_a_third_of_the_rows(spark):
+    """True pairs whose keys are all shared by the other records of the template."""
+    rng = random.Random(17)
+    form = text(rng, 180).split()
+
+    def record():  # one run of own words: the template part stays below the threshold
+        w, at = list(form), rng.randrange(20, 140)
+        w[at : at + 20] = text(rng, 22).split()
+        return " ".join(w)
+
+    rows = [(i, record()) for i in range(1, 301)]
+    rows += [(1000 + i, edit(rng, t, 3)) for i, t in rows[:100]]
+    rows += [(5000 + i, text(rng, 180)) for i in range(800)]
+    rng.shuffle(rows)
+    d = spark.createDataFrame(rows, "file_id bigint, normalized_text string")
+    got = {(r["first"], r["id"]) for r in near_duplicate_groups(d).collect() if r["first"] != r["id"]}
+    want = brute(rows)
+    assert len(want) > 50 and got == want
+
+
 def test_exact_copies_repeated_rows_clashing_columns_and_nulls(spark):
     rng = random.Random(3)
     t = text(rng, 80)
