@@ -179,7 +179,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _plausible(threshold: float):
-    """Keep pairs whose MinHash values agree about as often as the threshold demands at their sizes."""
+    """Keep pairs whose MinHash values agree about as often as the threshold demands at their sizes.
+
+    An estimate: true pairs dropped here are found by the exact join across groups.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

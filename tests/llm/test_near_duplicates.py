@@ -104,6 +104,18 @@ def test_template_that_holds_a_third_of_the_rows(spark):
     assert len(want) > 50 and got == want
 
 
+def test_fragments_of_much_longer_texts(spark):
+    rng = random.Random(23)
+    rows = []
+    for i in range(1, 61):
+        t = text(rng, 400)
+        rows += [(i, t), (100 + i, " ".join(t.split()[70:106]))]
+    rows += [(1000 + i, edit(rng, " ".join(t.split()[100:220]), 2)) for i, t in rows[::2]]
+    d = spark.createDataFrame(rows, "file_id bigint, normalized_text string")
+    got = {(r["first"], r["id"]) for r in near_duplicate_groups(d).collect() if r["first"] != r["id"]}
+    assert got == brute(rows)
+
+
 def test_exact_copies_repeated_rows_clashing_columns_and_nulls(spark):
     rng = random.Random(3)
     t = text(rng, 80)
