@@ -32,6 +32,29 @@ def canonical_of_family(docs: DataFrame) -> DataFrame:
     return docs.where("stem_key is not null").groupBy("stem_key").agg(F.max_by("path", rank_key()).alias("canonical_path"), F.count(F.lit(1)).alias("members"))
 
 
+def _need(n: Column, threshold: float) -> Column:
+    """Least shared units of a text of ``n`` units, for a similarity rounded to four places."""
+    return F.ceil(F.lit(threshold - 5e-5) * n - 1e-9)
+
+
+def _placed(flat: DataFrame, family: list[str], doc: str) -> DataFrame:
+    """Units ``u`` that several texts of a family hold, with their position among the ``n`` units of the text from rare to common.
+
+    Units of one text come first in it and pair with nothing, so they only count.
+    """
+    often = flat.groupBy(*family, "u").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = W.partitionBy(*family, doc)
+    seen = flat.join(often, [*family, "u"])
+    return seen.select(*family, doc, "n", "u", (F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "u")) - 1).alias("pos"))
+
+
+def _meet(small: DataFrame, large: DataFrame, on: list[str], doc: str, threshold: float, where: Column) -> DataFrame:
+    """Pairs of which the smaller text's prefix (``n - need + 1`` rarest units) holds a unit of the larger one: exact at every ratio of sizes."""
+    a = small.where(F.col("pos") <= F.col("n") - _need(F.col("n"), threshold)).select(*on, F.col(doc).alias("a"), F.col("n").alias("na"))
+    b = large.select(*on, F.col(doc).alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    return a.join(b, on).where(where & (F.col("pb") <= F.col("nb") - _need(F.col("na"), threshold)))
+
+
 def pair_scores(docs: DataFrame, threshold: float = 0.9, min_chars: int = 200) -> DataFrame:
     """``a, b, similarity`` of different texts of one family that share at least ``threshold`` of the smaller one's 5-word runs.
 
@@ -69,7 +92,7 @@ def _leaders(threshold: float, min_chars: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(
             rank_q=pdf["parse_quality"].fillna(-1.0), rank_e=pdf["ext"].map(EXT_RANK).fillna(0), rank_n=pdf["normalized_chars"].fillna(0), rank_p=pdf["path"].str.lower()
-        ).sort_values(["rank_q", "rank_e", "rank_n", "rank_p"], ascending=False, kind="stable")
+        ).sort_values(["row", "rank_q", "rank_e", "rank_n", "rank_p"], ascending=[True, False, False, False, False], kind="stable")
         leaders: list[tuple[str, tuple[set, set]]] = []
         by_hash: dict[str, str] = {}
         rows = []
@@ -78,8 +101,10 @@ def _leaders(threshold: float, min_chars: int):
             verdict = None
             if r.rank_n >= min_chars and digest:
                 units = _units(text)
-                if digest in by_hash:
-                    verdict = (by_hash[digest], "exact_normalized_text", 1.0)
+                if r.same or digest in by_hash:
+                    verdict = (r.same or by_hash[digest], "exact_normalized_text", 1.0)
+                elif r.near:
+                    verdict = (r.near, "near_duplicate_same_stem", r.near_score)
                 else:
                     hit = next(((p, s) for p, u in leaders if (s := _near(u, units)) >= threshold), None)
                     verdict = (hit[0], "near_duplicate_same_stem", hit[1]) if hit else None
@@ -87,28 +112,93 @@ def _leaders(threshold: float, min_chars: int):
                     leaders.append((r.path, units))
                     by_hash.setdefault(digest, r.path)
             c, why, sim = verdict or (r.path, "kept_best_in_family", 1.0)
-            rows.append((r.file_id, r.path, "duplicate" if verdict else "canonical", c, why, sim))
-        return pd.DataFrame(rows, columns=["file_id", "path", "status", "canonical_path", "dedup_reason", "similarity"])
+            rows.append((r.file_id, r.path, "duplicate" if verdict else "canonical", c, why, sim, r.stem_key, r.row))
+        return pd.DataFrame(rows, columns=["file_id", "path", "status", "canonical_path", "dedup_reason", "similarity", "stem_key", "row"])
 
     return run
 
 
 DECISION = "file_id bigint, path string, status string, canonical_path string, dedup_reason string, similarity double"
+OUT = ["file_id", "path", "status", "canonical_path", "dedup_reason", "similarity"]
+IN = ["stem_key", "file_id", "path", "ext", "parse_quality", "normalized_chars", "normalized_hash", "normalized_text", "row", "same", "near", "near_score"]
+
+
+def _decide(docs: DataFrame, threshold: float, min_chars: int) -> DataFrame:
+    return docs.select(*IN).groupBy("stem_key").applyInPandas(_leaders(threshold, min_chars), f"{DECISION}, stem_key string, row bigint")
+
+
+def _no_leader(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"same": F.lit(None).cast("string"), "near": F.lit(None).cast("string"), "near_score": F.lit(None).cast("double")})
+
+
+def _score(threshold: float):
+    def run(batches):
+        for pdf in batches:
+            score = [_near(_units(x or ""), _units(y or "")) for x, y in zip(pdf["leader_text"], pdf["text"], strict=True)]
+            out = pdf[["stem_key", "row", "leader"]].assign(score=pd.Series(score, index=pdf.index, dtype="float64"))
+            yield out[out["score"] >= threshold]
+
+    return run
+
+
+def _hot_decisions(docs: DataFrame, largest: int, threshold: float, min_chars: int, block_rows: int) -> DataFrame:
+    """The same greedy decisions for families too large for one task: blocks of ``block_rows`` in the order of rank, one after the other.
+
+    A block meets the leaders of the blocks before by an exact prefix join (lines and 5-word runs) and by hash; what they don't decide
+    is decided inside the block. Every document meets every earlier leader that can be near, as in one pass over the family.
+    """
+    docs = materialize(docs.withColumn("_id", F.monotonically_increasing_id()))
+    order = docs.select("_id", "stem_key", rank_key().alias("k"), "path", "file_id")
+    order = order.select("_id", F.row_number().over(W.partitionBy("stem_key").orderBy(F.desc("k"), "path", "file_id", "_id")).cast("bigint").alias("row"))
+    able = (F.coalesce("normalized_chars", F.lit(0)) >= min_chars) & (F.coalesce("normalized_hash", F.lit("")) != "")
+    docs = materialize(docs.join(order, "_id").withColumn("able", able))
+    text = F.col("normalized_text")
+    units = lambda kind, c: docs.where("able").select("stem_key", F.lit(kind).alias("kind"), "row", F.transform(c, lambda x: F.xxhash64(x)).alias("us"))
+    flat = units("line", T.line_units(text)).unionByName(units("run", T.word_shingles(text))).select("stem_key", "kind", "row", F.size("us").alias("n"), F.explode("us").alias("u"))
+    placed = materialize(_placed(flat, ["stem_key", "kind"], "row"))
+    on = ["stem_key", "kind", "u"]
+    within = lambda df, k: df.where((F.col("row") > k * block_rows) & (F.col("row") <= (k + 1) * block_rows))
+    leaders = out = None
+    for k in range(-(-largest // block_rows)):
+        block = within(docs, k)
+        if leaders is None:
+            block = _no_leader(block)
+        else:
+            mine, theirs = within(placed, k), placed.join(leaders.select("stem_key", "row"), ["stem_key", "row"])
+            new = _meet(mine, theirs, on, "row", threshold, F.col("na") <= F.col("nb")).select("stem_key", F.col("a").alias("row"), F.col("b").alias("leader"))
+            old = _meet(theirs, mine, on, "row", threshold, F.col("na") < F.col("nb")).select("stem_key", F.col("b").alias("row"), F.col("a").alias("leader"))
+            pairs = new.unionByName(old).distinct()
+            pairs = pairs.join(block.select("stem_key", "row", text.alias("text")), ["stem_key", "row"])
+            pairs = pairs.join(docs.select("stem_key", F.col("row").alias("leader"), text.alias("leader_text")), ["stem_key", "leader"])
+            hits = pairs.select("stem_key", "row", "leader", "leader_text", "text").mapInPandas(_score(threshold), "stem_key string, row bigint, leader bigint, score double")
+            first = hits.groupBy("stem_key", "row").agg(F.min("leader").alias("leader"), F.min_by("score", "leader").alias("near_score"))
+            near = first.join(leaders.select("stem_key", F.col("row").alias("leader"), F.col("path").alias("near")), ["stem_key", "leader"]).drop("leader")
+            same = leaders.select("stem_key", "normalized_hash", F.col("path").alias("same"))
+            block = block.join(near, ["stem_key", "row"], "left").join(same, ["stem_key", "normalized_hash"], "left")
+        done = materialize(_decide(block, threshold, min_chars))
+        out = done if out is None else out.unionByName(done)
+        kept = within(docs, k).where("able").join(done.where("status = 'canonical'").select("stem_key", "row"), ["stem_key", "row"])
+        kept = materialize(kept.select("stem_key", "row", "path", "normalized_hash"))
+        leaders = kept if leaders is None else leaders.unionByName(kept)
+    return out.select(*OUT)
 
 
 def family_decisions(docs: DataFrame, threshold: float = 0.9, min_chars: int = 200, exts: tuple[str, ...] = (".pdf", ".doc", ".docx"), family_rows: int = 20_000) -> DataFrame:
     """Greedy leader decisions per stem family; families of one skip the comparison.
 
-    The greedy order is sequential within a family. A family of more than ``family_rows`` documents is split by the first
-    five words of the texts, so that no task holds an unbounded group; texts that begin alike stay together.
+    The greedy order is sequential within a family. A family of more than ``family_rows`` documents is decided in blocks of that many,
+    so that no task holds an unbounded group; the decisions are those of one pass.
     """
     d = docs.where(F.col("ext").isin(*exts))
     sizes = d.groupBy("stem_key").agg(F.count(F.lit(1)).alias("_size"))
+    largest = sizes.where("stem_key is not null").agg(F.max("_size")).first()[0] or 0
     d = d.join(sizes, "stem_key")
     single = d.where("_size = 1").select("file_id", "path", F.lit("canonical").alias("status"), F.col("path").alias("canonical_path"), F.lit("singleton_skipped").alias("dedup_reason"), F.lit(1.0).alias("similarity"))
-    part = F.when(F.col("_size") > family_rows, F.xxhash64(F.array_join(F.slice(T.word_tokens(F.substring("normalized_text", 1, 400)), 1, 5), " "))).otherwise(F.lit(0))
-    many = d.where("_size > 1").withColumn("_part", part).select("stem_key", "_part", "file_id", "path", "ext", "parse_quality", "normalized_chars", "normalized_hash", "normalized_text")
-    return single.unionByName(many.groupBy("stem_key", "_part").applyInPandas(_leaders(threshold, min_chars), DECISION))
+    many = d.where("_size > 1").select("_size", *IN[:8])
+    out = single.unionByName(_decide(_no_leader(many.where(F.col("_size") <= family_rows).withColumn("row", F.lit(0).cast("bigint"))), threshold, min_chars).select(*OUT))
+    if largest > family_rows:
+        out = out.unionByName(_hot_decisions(many.where(F.col("_size") > family_rows).drop("_size"), largest, threshold, min_chars, family_rows))
+    return out
 
 
 def review_families(decisions: DataFrame) -> DataFrame:

@@ -131,6 +131,27 @@ def test_family_decisions(spark):
     assert family_dedup.family_decisions(d.limit(0)).count() == 0
 
 
+def test_family_decisions_in_blocks_equal_one_pass(spark):
+    import random
+
+    rng = random.Random(4)
+    base = [[f"t{k}x{i}" for i in range(120)] for k in range(6)]
+    rows = []
+    for i in range(60):
+        w = list(base[i % 6])
+        if i % 3 == 1:
+            w = [f"title{i}", f"edited{i}"] + w
+        if i % 4 == 2:
+            w = w[: rng.randrange(60, 120)]
+        t = "\n".join(" ".join(w[x : x + 8]) for x in range(0, len(w), 8))
+        rows.append((i, f"/p{i:03}", (".pdf", ".doc", ".docx")[i % 3], "hot", rng.random(), len(t), f"h{t}", t))
+    rows += [(100, "/n", ".pdf", "hot", None, None, None, None), (101, "/m", ".pdf", "hot", 0.5, 10, "x", "short")]
+    d = spark.createDataFrame(rows, DOCS)
+    one = {tuple(r) for r in family_dedup.family_decisions(d).collect()}
+    assert len(one) == 62 and len([r for r in one if r[2] == "duplicate"]) > 40
+    assert {tuple(r) for r in family_dedup.family_decisions(d, family_rows=25).collect()} == one
+
+
 def test_profile_tree(spark):
     names = ["bundle_a/doc.pdf", "bundle_a/doc_djvu.txt", "bundle_b/doc.pdf", "bundle_b/doc_djvu.txt", "scan_001.jpeg", "manual_encrypted.pdf"]
     t = profile.tree(spark.createDataFrame([(f"/root/{n}", 5) for n in names], "path string, size bigint"), F.lit("/root"))
