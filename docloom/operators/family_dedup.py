@@ -58,19 +58,14 @@ def _meet(small: DataFrame, large: DataFrame, on: list[str], doc: str, threshold
 def pair_scores(docs: DataFrame, threshold: float = 0.9, min_chars: int = 200) -> DataFrame:
     """``a, b, similarity`` of different texts of one family that share at least ``threshold`` of the smaller one's 5-word runs.
 
-    Copies of one text are represented by their smallest id. Candidates meet in the prefix of their rarest runs
-    (``n - ceil(threshold * ratio * n) + 1`` of them, ``ratio`` the smallest length ratio, 0.5), so common runs make no pairs.
+    Copies of one text are represented by their smallest id. The smaller text's rarest runs (``n - ceil(threshold * n) + 1`` of them)
+    meet all runs of the larger text, so common runs make few pairs and a text inside a longer one is found at any length.
     """
     d = docs.where((F.col("normalized_chars") >= min_chars) & F.col("normalized_text").isNotNull()).groupBy("stem_key", "normalized_text").agg(F.min("file_id").alias("file_id"))
     runs = materialize(d.select("file_id", "stem_key", F.transform(T.word_shingles(F.col("normalized_text")), lambda x: F.xxhash64(x)).alias("runs")).withColumn("n", F.size("runs")))
     flat = runs.select("file_id", "stem_key", "n", F.explode("runs").alias("u"))
-    often = flat.groupBy("stem_key", "u").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    seen = flat.join(often, ["stem_key", "u"])
-    lone = runs.select("file_id", "n").join(seen.groupBy("file_id").agg(F.count(F.lit(1)).alias("common")), "file_id").select("file_id", (F.col("n") - F.col("common")).alias("lone"))
-    ranked = seen.join(lone, "file_id").withColumn("pos", F.col("lone") + F.row_number().over(W.partitionBy("file_id").orderBy("df", "u")) - 1)
-    prefix = materialize(ranked.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(threshold * 0.5) * F.col("n"))).select("stem_key", "u", "file_id"))
-    left = prefix.withColumnRenamed("file_id", "a")
-    pairs = left.join(prefix.withColumnRenamed("file_id", "b"), ["stem_key", "u"]).where("a < b").select("a", "b").distinct()
+    placed = materialize(_placed(flat, ["stem_key"], "file_id"))
+    pairs = _meet(placed, placed, ["stem_key", "u"], "file_id", threshold, (F.col("a") != F.col("b")) & (F.col("na") <= F.col("nb"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda c: runs.select(F.col("file_id").alias(c), F.col("runs").alias(f"r{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.round(T.containment(F.col("ra"), F.col("rb")), 4).alias("similarity")).where(F.col("similarity") >= threshold)
 

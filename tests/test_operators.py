@@ -131,6 +131,13 @@ def test_family_decisions(spark):
     assert family_dedup.family_decisions(d.limit(0)).count() == 0
 
 
+def test_contained_texts_of_one_family_pair_at_any_length(spark):
+    words = [f"w{i}" for i in range(1000)]
+    rows = [(1, "/a", ".pdf", "s", 1.0, 5000, "h1", " ".join(words)), (2, "/b", ".pdf", "s", 1.0, 500, "h2", " ".join(words[300:400])), (3, "/c", ".pdf", "s", 1.0, 500, "h3", " ".join(words[600:900]))]
+    got = {(r["a"], r["b"], r["similarity"]) for r in family_dedup.pair_scores(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {(1, 2, 1.0), (1, 3, 1.0)}
+
+
 def test_family_decisions_in_blocks_equal_one_pass(spark):
     import random
 
