@@ -100,6 +100,31 @@ def shingles(h: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndarray
     return mix(s[keep]), doc[keep], keep
 
 
+def word_values(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words, the 32-bit values that stand for them in all later passes, and the texts' offsets."""
+    h, off = word_hashes(texts)
+    return h, (h >> U(32)).astype(np.uint32), off
+
+
+def spread_values(values: np.ndarray) -> np.ndarray:
+    """Word hashes to make shingles of, from the 32-bit values of words."""
+    return mix(values.astype(U))
+
+
+def word_blocks(column, limit: int = 200_000, most: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows ``i`` to ``j`` of a binary column of word values at a time, as hashes and offsets: about ``limit`` words, at most ``most`` rows."""
+    rows = column.to_pylist()
+    size = [len(r) // 4 if r else 0 for r in rows]
+    i = 0
+    while i < len(rows):
+        j, total = i, 0
+        while j < len(rows) and j - i < most and (total == 0 or total + size[j] <= limit):
+            total += size[j]
+            j += 1
+        yield i, j, spread_values(np.frombuffer(b"".join(r or b"" for r in rows[i:j]), np.uint32)), np.cumsum([0, *size[i:j]])
+        i = j
+
+
 def text_shingles(texts: list, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of all texts, sorted within each text, and their offsets."""
     h, offsets = word_hashes(texts)

@@ -4,14 +4,12 @@
 2. Order MinHash: the smallest ``2`` occurrence-labelled word 5-grams, kept in text order, once per hash function
    over the whole text and once per content-defined segment of it. The segments make a text that is contained in a longer one,
    or whose paragraphs were moved, share keys with it.
-3. All keys are range-sorted; a row meets the rows beside it and the smallest id of its run, so that a hot
-   key costs time in proportion to its rows and is split over tasks by the sort.
-4. MinHash estimates drop chance meetings; banded alignment gives the edit similarity and the exact 5-gram
-   containment decides.
-5. Components of the links are groups; further rounds compare across the groups that still share keys until
-   no new link appears.
-6. Steps 2 to 5 only join most copies cheaply, so that hubs are one group each. An exact prefix join then compares all texts of different
-   groups that can share ``threshold`` of the smaller one's 5-grams, and its links complete the groups: none is left to chance.
+3. All keys are range-sorted; a row meets the two rows before it and the smallest id of its run, so that a hot
+   key costs time in proportion to its rows and is split over tasks by the sort. MinHash values drop chance meetings.
+4. Banded alignment verifies a pair: an edit of a word spoils at most five 5-grams, so few edits prove the similarity. Where the edits
+   are too many to prove it, the exact containment of the 5-grams decides.
+5. Components of the links are groups. An exact prefix join then compares all texts of different groups that can share ``threshold`` of
+   the smaller one's 5-grams, and its links, verified in the same way, complete the groups: none is left to chance.
 """
 
 from __future__ import annotations
@@ -24,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from ..plans.shared import attach_group, discard, materialize, ship_package
+from ..plans.shared import attach_group, discard, materialize, ship_package, widen
 from .alignment import banded_distance
-from .hashing import U, blocks, mix, shingles, word_hashes
-from .prefixes import K, POSTING, postings, prefix_bits, token_counts
+from .hashing import U, blocks, mix, shingles, spread_values, word_blocks, word_values
+from .prefixes import K, token_bits, token_counts, token_rows, wanted_rows
 from .sketches import get_bits, merged_table, set_bits, spread
 
-SIGS = 16
+SIGS = 8
 GLOBAL_KEYS = 6
 SEGMENT_MASK = 15
 LEAST_SEGMENT = 6
@@ -72,10 +70,10 @@ def _two_minima(v: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple
 
 
 def sketch(texts: list) -> dict:
-    """Order MinHash keys, MinHash values and word-sequence class of each text (arrays by text)."""
-    h, off = word_hashes(texts)
+    """Word values, number of 5-grams, Order MinHash keys, MinHash bytes and word-sequence class of each text (arrays by text)."""
+    h, values, off = word_values(texts)
     m = len(texts)
-    s, doc, _ = shingles(h, off, K)
+    s, doc, _ = shingles(spread_values(values), off, K)
     occ = occurrence(s, doc)
     n = np.bincount(doc[occ == 0], minlength=m)
     ends = np.cumsum(np.bincount(doc, minlength=m))
@@ -83,7 +81,7 @@ def sketch(texts: list) -> dict:
     full = np.flatnonzero(lengths)
     starts, lens = (ends - lengths)[full], lengths[full]
     g = mix(s + occ.astype(U) * U(0xA0761D6478BD642F))
-    sig = np.zeros((m, SIGS), np.uint16)
+    sig = np.zeros((m, SIGS), np.uint8)
     key_doc, keys = [], []
     if len(full):
         for i, odd in enumerate(ODD):
@@ -95,127 +93,117 @@ def sketch(texts: list) -> dict:
                 least = np.minimum(a, b)
             else:
                 least = np.minimum.reduceat(v, starts)
-            sig[full, i] = (least >> U(48)).astype(np.uint16)
+            sig[full, i] = (mix(least) >> U(56)).astype(np.uint8)
         cut = np.zeros(len(s), bool)
         cut[starts] = True
         cut[1:] |= (s[:-1] & U(SEGMENT_MASK)) == 0
         seg = np.flatnonzero(cut)
         seg_len = np.diff(np.append(seg, len(s)))
-        a, b = _two_minima(mix(s ^ U(0x5851F42D4C957F2D)), seg, seg_len)
+        a, b = _two_minima(mix(g ^ U(0x5851F42D4C957F2D)), seg, seg_len)
         long = seg_len >= LEAST_SEGMENT
         keys.append(mix(a * U(5) + b)[long])
         key_doc.append(doc[seg[long]])
-    words = np.repeat(np.arange(m), np.diff(off))
-    at = (np.arange(len(h)) - off[:-1][words]).astype(U)
-    cls = []
-    for salt in (1, 2):
-        x = mix(h + mix(at * U(0x9E3779B97F4A7C15) + U(salt)))
-        c = np.zeros(m, U)
-        some = np.flatnonzero(np.diff(off))
-        if len(some):
-            c[some] = np.add.reduceat(x, off[:-1][some])
-        cls.append(c.view(np.int64))
+    cls = [c.view(np.int64) for c in sequence_class(h, off)]
     key_doc = np.concatenate(key_doc) if key_doc else np.empty(0, np.int64)
     keys = np.concatenate(keys) if keys else np.empty(0, U)
     order = np.argsort(key_doc, kind="stable")
-    return {"n": n, "sig": sig, "cls": cls, "key_off": np.searchsorted(key_doc[order], np.arange(m + 1)), "keys": keys[order].view(np.int64)}
+    return {"n": n, "sig": np.ascontiguousarray(sig).view(np.int64)[:, 0], "cls": cls, "key_off": np.searchsorted(key_doc[order], np.arange(m + 1)), "keys": keys[order].view(np.int64), "values": values, "off": off}
+
+
+def sequence_class(h: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each text's word sequence (0 without a word)."""
+    at = (np.arange(len(h)) - np.repeat(off[:-1], np.diff(off))).astype(U)
+    some = np.flatnonzero(np.diff(off))
+    out = []
+    for salt in (1, 2):
+        c = np.zeros(len(off) - 1, U)
+        if len(some):
+            c[some] = np.add.reduceat(mix(h + mix(at * U(0x9E3779B97F4A7C15) + U(salt))), off[:-1][some])
+        out.append(c)
+    return out
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, texts = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
+        texts = b.column(1).to_pylist()
         for i, j in blocks(texts):
             x = sketch(texts[i:j])
-            raw = x["sig"].tobytes()
-            w = SIGS * 2
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids[i:j]),
+                    b.column(0).slice(i, j - i),
                     pa.array(x["n"], pa.int32()),
                     pa.array(x["cls"][0]),
                     pa.array(x["cls"][1]),
-                    pa.array([raw[r * w : (r + 1) * w] for r in range(j - i)], pa.binary()),
+                    pa.array(x["sig"]),
                     pa.ListArray.from_arrays(pa.array(x["key_off"], pa.int32()), pa.array(x["keys"])),
+                    pa.array([x["values"][p:q].tobytes() for p, q in zip(x["off"][:-1], x["off"][1:], strict=True)], pa.binary()),
                 ],
-                ["id", "n", "cls_a", "cls_b", "sig", "keys"],
+                ["id", "n", "cls_a", "cls_b", "sig", "keys", "words"],
             )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: pairs with the two rows before and with the smallest id of the run so far."""
-    tail = None
-    for b in batches:
-        key, idv, grp = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2))
-        if tail is not None:
-            key, idv, grp = (np.concatenate(x) for x in zip(tail, (key, idv, grp), strict=True))
-        if not len(key):
-            continue
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        starts = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        # the leader of a run is its row with the smallest id
-        low = np.minimum.reduceat(idv, starts)
-        lead = np.zeros(len(starts), np.int64)
-        where = np.flatnonzero(idv == low[run])[::-1]
-        lead[run[where]] = where
-        left, right = [lead[run]], [np.arange(len(key))]
-        for d in (1, 2):
-            left.append(np.arange(len(key) - d))
-            right.append(np.arange(d, len(key)))
-        i, j = np.concatenate(left), np.concatenate(right)
-        ok = (run[i] == run[j]) & (grp[i] != grp[j])
-        i, j = i[ok], j[ok]
-        lo, hi = np.minimum(idv[i], idv[j]), np.maximum(idv[i], idv[j])
-        if len(lo):
-            order = np.lexsort((hi, lo))
-            lo, hi = lo[order], hi[order]
-            keep = np.ones(len(lo), bool)
-            keep[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(lo[keep]), pa.array(hi[keep])], ["a", "b"])
-        # carried into the next batch: the open run's leader and its last two rows
-        last = np.unique(np.append(np.arange(max(starts[-1], len(key) - 2), len(key)), lead[-1]))
-        tail = (key[last], idv[last], grp[last])
-
-
-def _plausible(threshold: float):
-    """Keep pairs whose MinHash values agree about as often as the threshold demands at their sizes.
-
-    An estimate: true pairs dropped here are found by the exact join across groups.
-    """
+def _neighbours(threshold: float):
+    """Rows (key, id, n, sig) sorted by key: pairs with the two rows before and with the smallest id of the run so far, if MinHash
+    values agree about as often as the threshold demands at their sizes (an estimate: what it drops is left to the exact join)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = None
         for b in batches:
-            if not b.num_rows:
+            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in range(4)]
+            if tail is not None:
+                cols = [np.concatenate(x) for x in zip(tail, cols, strict=True)]
+            key, idv, n, sig = cols
+            if not len(key):
                 continue
-            na, nb = (b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (2, 3))
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, SIGS) for c in (4, 5))
-            least, most = np.minimum(na, nb), np.maximum(na, nb)
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            starts = np.flatnonzero(new)
+            runs = np.cumsum(new) - 1
+            # the leader of a run is its row with the smallest id
+            low = np.minimum.reduceat(idv, starts)
+            lead = np.zeros(len(starts), np.int64)
+            where = np.flatnonzero(idv == low[runs])[::-1]
+            lead[runs[where]] = where
+            left, right = [lead[runs]], [np.arange(len(key))]
+            for d in (1, 2):
+                left.append(np.arange(len(key) - d))
+                right.append(np.arange(d, len(key)))
+            i, j = np.concatenate(left), np.concatenate(right)
+            ok = (runs[i] == runs[j]) & (idv[i] != idv[j])
+            i, j = i[ok], j[ok]
+            same = ((sig[i, None] ^ sig[j, None]).view(np.uint8).reshape(-1, SIGS) == 0).sum(1)
+            least, most = np.minimum(n[i], n[j]).astype(float), np.maximum(n[i], n[j])
             jaccard = threshold * least / np.maximum(least + most - threshold * least, 1)
-            keep = (x == y).sum(1) >= np.floor(SIGS * jaccard * 0.35)
-            t = b.filter(pa.array(keep & (least > 0)))
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["a", "b"])
+            ok = same >= np.floor(SIGS * jaccard * 0.6)
+            i, j = i[ok], j[ok]
+            lo, hi = np.minimum(idv[i], idv[j]), np.maximum(idv[i], idv[j])
+            if len(lo):
+                order = np.lexsort((hi, lo))
+                lo, hi = lo[order], hi[order]
+                keep = np.ones(len(lo), bool)
+                keep[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(lo[keep]), pa.array(hi[keep])], ["a", "b"])
+            # carried into the next batch: the open run's leader and its last two rows
+            last = np.unique(np.append(np.arange(max(starts[-1], len(key) - 2), len(key)), lead[-1]))
+            tail = [c[last] for c in cols]
 
     return run
 
 
 def _payload(bits):
-    """Ordered 32-bit word values of the texts whose id is in the Bloom bits, with the number of 5-grams and their marks."""
+    """The rows (id, words) whose id is in the Bloom bits, with the number of 5-grams and their marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            some = np.flatnonzero(get_bits(table, _place(ids, len(table) * 8)))
-            texts = b.column(1).take(pa.array(some)).to_pylist()
-            for i, j in blocks(texts):
-                h, off = word_hashes(texts[i:j])
-                w = (h >> U(32)).astype(np.uint32)
-                s, doc, _ = shingles(mix(w.astype(U)), off, K)
+            some = b.take(pa.array(np.flatnonzero(get_bits(table, _place(b.column(0).to_numpy(zero_copy_only=False), len(table) * 8)))))
+            for i, j, h, off in word_blocks(some.column(1)):
+                s, doc, _ = shingles(h, off, K)
                 marks = np.zeros((j - i, MARKS), bool)
                 marks[doc, (s % U(MARKS)).astype(np.int64)] = True
                 raw, grams = np.packbits(marks, axis=1), np.bincount(doc, minlength=j - i)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some[i:j]]), pa.array([w[x:y].tobytes() for x, y in zip(off[:-1], off[1:], strict=True)], pa.binary()), pa.array(grams, pa.int32()), pa.array([r.tobytes() for r in raw], pa.binary())], ["id", "words", "grams", "marks"])
+                part = some.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(grams, pa.int32()), pa.array([r.tobytes() for r in raw], pa.binary())], ["id", "words", "grams", "marks"])
 
     return run
 
@@ -240,13 +228,13 @@ def _place(ids: np.ndarray, size: int) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(U)) % U(size)).astype(np.int64)
 
 
-def containment(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Exact shared distinct word 5-grams over the smaller number of them, pair by pair; 0 where a text has none."""
+def containment(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Exact shared distinct word 5-grams over the smaller number of them, pair by pair (0 where a text has none), and that number."""
     m = len(left)
     counts, sets = [], []
     for side in (left, right):
         off = np.cumsum([0, *map(len, side)])
-        s, doc, _ = shingles(mix(np.concatenate(side).astype(U)) if off[-1] else np.empty(0, U), off, K)
+        s, doc, _ = shingles(spread_values(np.concatenate(side)) if off[-1] else np.empty(0, U), off, K)
         key = np.unique(mix(s ^ mix(doc.astype(U) + U(7))))
         counts.append(np.bincount(doc[occurrence(s, doc) == 0], minlength=m))
         sets.append((key, s, doc))
@@ -258,23 +246,30 @@ def containment(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     hit = key2[at] == k1 if len(key2) else np.zeros(len(k1), bool)
     shared = np.bincount(d1[first][hit], minlength=m)
     least = np.minimum(*counts)
-    return np.where(least > 0, shared / np.maximum(least, 1), 0.0)
+    return np.where(least > 0, shared / np.maximum(least, 1), 0.0), least
 
 
 def _verify(threshold: float, band: int):
+    """Pairs (a, b, wa, wb) that are similar: few edits in the banded alignment prove it, else the exact containment decides.
+
+    An edit spoils at most ``K`` of the smaller text's 5-grams, so with ``d`` edits at least ``1 - K * d / n`` of its ``n`` are shared.
+    The similarity given is the exact containment in either case.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 x, y = ([np.frombuffer(w, np.uint32) for w in part.column(c).to_pylist()] for c in (2, 3))
-                exact = containment(x, y)
-                keep = np.flatnonzero(exact >= threshold)
+                d = banded_distance(x, y, band)
+                similar, grams = containment(x, y)
+                proven = (d <= band) & (grams > 0) & (1 - K * d / np.maximum(grams, 1) >= threshold)
+                keep = np.flatnonzero(proven | (similar >= threshold))
                 if len(keep):
-                    d = banded_distance([x[i] for i in keep], [y[i] for i in keep], band)
                     longest = np.array([max(len(x[i]), len(y[i]), 1) for i in keep])
-                    edit = np.where(d > band, np.nan, 1 - d / longest)
+                    edit = np.where(d[keep] > band, np.nan, 1 - d[keep] / longest)
                     rows = part.take(pa.array(keep))
-                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(exact[keep]), pa.array(edit, from_pandas=True)], ["a", "b", "similarity", "edit_similarity"])
+                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(similar[keep]), pa.array(edit, from_pandas=True)], ["a", "b", "similarity", "edit_similarity"])
 
     return run
 
@@ -288,36 +283,38 @@ def bloom_of(ids: DataFrame, bits: int) -> np.ndarray:
     return merged_table(ids, bits // 8, "uint8", fold, "or")[0]
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float, band: int, bloom_bits: int) -> DataFrame:
-    """Links (a, b, similarity, edit_similarity) among candidate ``pairs`` (a, b) of ``texts`` (id, text)."""
+def verified(pairs: DataFrame, words: DataFrame, threshold: float, band: int, bloom_bits: int) -> DataFrame:
+    """Links (a, b, similarity, edit_similarity) among candidate ``pairs`` (a, b) of texts ``words`` (id, words), one row an id."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits = spread(pairs, bloom_of(ids, bloom_bits))
-    words = materialize(texts.mapInArrow(_payload(bits), "id bigint, words binary, grams int, marks binary"))
+    words = materialize(words.select("id", "words").mapInArrow(_payload(bits), "id bigint, words binary, grams int, marks binary"))
     marks = lambda c: words.select(F.col("id").alias(c), F.col("grams").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
     pairs = pairs.join(marks("a"), "a").join(marks("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_possible(threshold), "a bigint, b bigint")
     left = words.select(F.col("id").alias("a"), F.col("words").alias("wa"))
     right = words.select(F.col("id").alias("b"), F.col("words").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(threshold, band), "a bigint, b bigint, similarity double, edit_similarity double")
+    links = pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(threshold, band), "a bigint, b bigint, similarity double, edit_similarity double")
+    out = materialize(links)
+    discard(words)
+    return out
 
 
-def _across_groups(texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of ``texts`` (id, text, grp) in different groups whose positions allow an overlap of ``threshold`` of the smaller one's tokens.
+def _across_groups(words: DataFrame, groups: DataFrame, number: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts ``words`` (id, words) in different ``groups`` (id, grp) of which the smaller one's prefix shares a token with the other.
 
-    The smaller text's prefix meets all tokens of the larger one. Tokens of a single group are dropped first, and what meets
-    under a token are groups before rows, so that a token of a large group costs nothing within the group.
+    What meets under a token are groups before rows, so that a token of a large group costs nothing within the group.
     """
-    counts = spread(texts, token_counts(texts))
-    wanted = spread(texts, prefix_bits(texts, counts, threshold))
-    posted = materialize(texts.mapInArrow(postings(counts, threshold, wanted), f"{POSTING}, grp bigint"))
-    several = posted.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
-    rows = materialize(posted.join(several, "token"))
-    discard(posted)
-    need = lambda n: F.ceil(F.lit(threshold) * n - 1e-9)
-    small = rows.where(F.col("pos") <= F.col("n") - need(F.col("n"))).select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("grp").alias("ga"))
-    large = rows.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("grp").alias("gb"))
+    counts = spread(words, token_counts(words, number))
+    of = lambda rows, i, n, g: rows.join(groups, "id").select("token", F.col("id").alias(i), F.col("n").alias(n), F.col("grp").alias(g))
+    prefix = materialize(words.mapInArrow(token_rows(counts, threshold, True), "token bigint, id bigint, pos int, n int").select("token", "id", "n"))
+    wanted = spread(words, token_bits(prefix, prefix.count()))
+    small = materialize(of(prefix, "a", "na", "ga"))
+    large = materialize(of(words.mapInArrow(wanted_rows(wanted), "token bigint, id bigint, n int"), "b", "nb", "gb"))
     meet = small.select("token", "ga").distinct().join(large.select("token", "gb").distinct(), "token").where("ga <> gb")
-    pairs = meet.join(small, ["token", "ga"]).join(large, ["token", "gb"]).where((F.col("na") <= F.col("nb")) & (F.col("pb") <= F.col("nb") - need(F.col("na"))))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = meet.join(small, ["token", "ga"]).join(large, ["token", "gb"]).where("na <= nb")
+    out = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    for t in (prefix, small, large):
+        discard(t)
+    return out
 
 
 def near_duplicate_groups(
@@ -339,41 +336,20 @@ def near_duplicate_groups(
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where((F.length("text") >= min_chars) & F.col("id").isNotNull())
-    sk = materialize(texts.mapInArrow(_sketch_batches, "id bigint, n int, cls_a bigint, cls_b bigint, sig binary, keys array<bigint>").where("n > 0"))
-    members = materialize(attach_group(sk.select("id", "cls_a", "cls_b"), ["cls_a", "cls_b"], {"rep": F.min("id")}, sk.count()).select("id", "rep").distinct())
-    reps = sk.join(members.where("id = rep").select("id"), "id").dropDuplicates(["id"])
-    near = F.conv(F.hex(F.substring("sig", 1, 2)), 16, 10).cast("int")
-    keyed = materialize(reps.select("id", near.alias("near"), F.explode("keys").alias("key")))
-    sizes = reps.select("id", "n", "sig")
-    group = keyed.withColumn("grp", F.col("id"))
-    links = done = None
-    while True:
-        ordered = group.repartitionByRange(F.col("key"), F.col("near"), F.xxhash64("id", "key")).sortWithinPartitions("key", "near", F.xxhash64("id", "key"))
-        pairs = ordered.select("key", "id", "grp").mapInArrow(_neighbours, "a bigint, b bigint").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        with_a = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
-        with_b = with_a.join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
-        likely = materialize(with_b.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_plausible(threshold), "a bigint, b bigint"))
-        found = materialize(verified(likely, texts, threshold, band, bloom_bits))
-        fresh = not found.isEmpty()
-        done = likely if done is None else done.unionByName(likely)
-        links = found if links is None else links.unionByName(found)
-        if not fresh:
-            break
-        comps = connected_components(links, "a", "b")
-        labelled = keyed.join(comps.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").select("key", "near", "id", F.coalesce("c", "id").alias("grp"))
-        # go on only where a key still joins several groups, with one row of each group
-        one = labelled.groupBy("key", "grp").agg(F.min_by("id", F.xxhash64("id", "key")).alias("id"), F.min("near").alias("near"))
-        several = one.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-        if group is not None and done is not likely:
-            discard(group)
-        group = materialize(one.join(several, "key").select("key", "near", "id", "grp"))
-    comps = connected_components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("c"))
-    groups = reps.select("id").join(comps, "id", "left").select("id", F.coalesce("c", "id").alias("grp"))
-    own = materialize(texts.join(groups, "id").dropDuplicates(["id"]).select("id", "text", "grp"))
-    rest = materialize(_across_groups(own, threshold).join(done, ["a", "b"], "left_anti"))
-    links = links.unionByName(materialize(verified(rest, own.select("id", "text"), threshold, band, bloom_bits)))
+    sk = materialize(widen(texts).mapInArrow(_sketch_batches, "id bigint, n int, cls_a bigint, cls_b bigint, sig bigint, keys array<bigint>, words binary").where("n > 0"))
+    number = sk.count()
+    members = materialize(attach_group(sk.select("id", "cls_a", "cls_b"), ["cls_a", "cls_b"], {"rep": F.min("id")}, number).select("id", "rep").distinct())
+    reps = members.where("id = rep").select("id")
+    keyed = materialize(sk.select("id", "n", "sig", "keys").join(reps, "id").select("id", "n", "sig", F.explode("keys").alias("key")))
+    order = (F.col("key"), F.col("sig"), F.xxhash64("id", "key"))
+    pairs = materialize(keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "id", "n", "sig").mapInArrow(_neighbours(threshold), "a bigint, b bigint").distinct())
+    discard(keyed)
+    words = sk.select("id", "words")
+    first = verified(pairs, words.dropDuplicates(["id"]) if members.count() < number else words, threshold, band, bloom_bits)
+    comps = connected_components(first, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("c"))
+    groups = materialize(reps.join(comps, "id", "left").select("id", F.coalesce("c", "id").alias("grp")))
+    rest = _across_groups(words, groups, number, threshold).join(pairs, ["a", "b"], "left_anti")
+    links = first.unionByName(verified(rest, words.dropDuplicates(["id"]) if members.count() < number else words, threshold, band, bloom_bits))
     comps = connected_components(links, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("root"))
     ends = links.select(F.col("a").alias("rep"), "similarity", "edit_similarity").unionByName(links.select(F.col("b").alias("rep"), "similarity", "edit_similarity"))
     best = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("links"), F.max("similarity").alias("best"), F.max("edit_similarity").alias("best_edit"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..plans.shared import materialize, ship_package
 from .hashing import _BASE, _BASE_INV, U, _powers, blocks, mix, word_hashes
-from .sketches import merged_table, spread
+from .sketches import add_counts, merged_table, spread
 
 #: fixed values: abbreviations whose period ends no sentence
 ABBREVIATIONS = "approx ref dwg sec fig vol no rev dr mr mrs ms prof st jr sr inc ltd co corp dept est etc eg ie vs al ed eds p pp par para art nos figs ch app tel ext max min mfg qty ser temp".split()
@@ -152,7 +152,7 @@ def word_counts(texts: DataFrame) -> np.ndarray:
         t = b.column(1).to_pylist()
         for i, j in blocks(t):
             h, _ = word_hashes(t[i:j])
-            table += np.bincount((h >> U(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS).astype(np.uint32)
+            add_counts(table, (h >> U(64 - COUNT_BITS)).astype(np.int64))
 
     return merged_table(texts, 1 << COUNT_BITS, "uint32", fold, "sum")[0]
 

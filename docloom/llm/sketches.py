@@ -18,7 +18,27 @@ SLICES = 16
 
 
 def merged_table(df: DataFrame, size: int, dtype: str, fold: Callable[[np.ndarray, pa.RecordBatch], None], how: str, tables: int = 1) -> np.ndarray:
-    """Fold every batch of ``df`` into an array of ``tables x size`` cells per task and merge the arrays.
+    """The table of :func:`merged_parts` on the driver."""
+    return table_of(merged_parts(df, size, dtype, fold, how, tables), size, dtype, tables)
+
+
+def table_of(parts: DataFrame, size: int, dtype: str, tables: int = 1) -> np.ndarray:
+    """Join the slices of a table of fixed size."""
+    out = np.zeros((tables, SLICES, size // SLICES), dtype)
+    for row in parts.toLocalIterator():
+        out[:, row["slice"]] = np.frombuffer(bytes(row["cells"]), dtype).reshape(tables, -1)
+    return out.reshape(tables, size)
+
+
+def add_counts(table: np.ndarray, places: np.ndarray) -> None:
+    """Add one for each place, saturating at the type's largest value, at the cost of the places and not of the table."""
+    at, n = np.unique(places, return_counts=True)
+    most = np.iinfo(table.dtype).max
+    table[at] = np.minimum(table[at].astype(np.int64) + n, most)
+
+
+def merged_parts(df: DataFrame, size: int, dtype: str, fold: Callable[[np.ndarray, pa.RecordBatch], None], how: str, tables: int = 1) -> DataFrame:
+    """Fold every batch of ``df`` into an array of ``tables x size`` cells per task and merge the arrays: rows (slice, cells).
 
     ``how``: "sum" adds cells (saturating at the type's largest value), "or" joins bits, "twice" expects two tables of bits
     (seen, seen more than once) and also marks as repeated what two tasks have both seen. ``fold`` changes the array in place.
@@ -51,13 +71,8 @@ def merged_table(df: DataFrame, size: int, dtype: str, fold: Callable[[np.ndarra
                 out |= x
         return pa.table({"slice": pa.array([t["slice"][0].as_py()], pa.int32()), "cells": pa.array([out.tobytes()], pa.binary())})
 
-    spark = df.sparkSession
-    tasks = 2 * max(1, spark.sparkContext.defaultParallelism)
-    parts = df.coalesce(tasks).mapInArrow(local, "slice int, cells binary").groupBy("slice").applyInArrow(merge, "slice int, cells binary")
-    out = np.zeros((tables, SLICES, size // SLICES), dtype)
-    for row in parts.toLocalIterator():
-        out[:, row["slice"]] = np.frombuffer(bytes(row["cells"]), dtype).reshape(tables, -1)
-    return out.reshape(tables, size)
+    tasks = 2 * max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return df.coalesce(tasks).mapInArrow(local, "slice int, cells binary").groupBy("slice").applyInArrow(merge, "slice int, cells binary")
 
 
 def spread(df: DataFrame, array: np.ndarray) -> Broadcast:

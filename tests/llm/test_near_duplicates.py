@@ -1,10 +1,11 @@
 import random
+import shutil
 
 import numpy as np
 import pytest
 
 from docloom.llm.alignment import banded_distance
-from docloom.llm.incremental import match_batches
+from docloom.llm.incremental import PrefixIndex, match_batches
 from docloom.llm.layout_copies import layout_copies, record_key
 from docloom.llm.near_duplicates import near_duplicate_groups
 
@@ -218,3 +219,39 @@ def test_batch_fragments_of_longer_history_texts(spark, part):
     prints = [(i, f"n{i}", t) for i, t in (long | fragments).items()]
     out = match_batches(spark.createDataFrame(state, STATE), spark.createDataFrame(delta, DELTA), spark.createDataFrame(prints, PRINTS)).collect()
     assert {(r["first_file_id"], r["file_id"]) for r in out} == {(i, 100 + i) for i in long}
+
+
+def test_two_batches_against_the_stored_index_read_no_history(spark, tmp_path):
+    """The second and third batch are accepted after everything that held the history, and the batch before, is gone."""
+    from datetime import datetime as dt
+
+    rng = random.Random(31)
+    at = dt(2025, 1, 1)
+    long = {i: text(rng, 300) for i in range(1, 9)}
+    first = {100 + i: " ".join(t.split()[: 300 // i]) if i < 7 else text(rng, 100) for i, t in long.items()}
+    second = {200 + i: edit(rng, t, 1) for i, t in first.items()} | {220: long[2].upper(), 221: text(rng, 80)}
+    history = tmp_path / "history"
+    files = "id bigint, fresh boolean, hash string, normalized_hash string, text string"
+    spark.createDataFrame([(i, False, f"a{i}", None, t) for i, t in long.items()], files).write.parquet(str(history))
+    batch = tmp_path / "batch"
+    spark.createDataFrame([(i, True, f"b{i}", None, t) for i, t in first.items()], files).write.parquet(str(batch))
+
+    def found(df):
+        return {(r["first_file_id"], r["file_id"]) for r in df.collect()}
+
+    index = str(tmp_path / "index")
+    PrefixIndex(spark, index).append(spark.read.parquet(str(history)))
+    shutil.rmtree(history)
+    one = found(PrefixIndex(spark, index).accept(spark.read.parquet(str(batch))))
+    shutil.rmtree(batch)
+    two = found(PrefixIndex(spark, index).accept(spark.createDataFrame([(i, True, f"c{i}", None, t) for i, t in second.items()], files)))
+    assert one == {(i, 100 + i) for i in range(1, 7)}
+    every = {i: grams(t) for i, t in (long | first | second).items()}
+    like = lambda a, b: len(every[a] & every[b]) >= 0.9 * min(len(every[a]), len(every[b]))
+    assert two == {(min(a for a in every if a < b and like(a, b)), b) for b in second if any(a < b and like(a, b) for a in every)}
+
+    at_once = [(i, "p", None, f"a{i}", None, 1, "indexed", at) for i in long]
+    delta = [(i, 1 if i < 200 else 2, "q", f"b{i}", at) for i in first | second]
+    prints = [(i, f"n{i}", t) for i, t in (long | first | second).items()]
+    tables = spark.createDataFrame(at_once, STATE), spark.createDataFrame(delta, DELTA), spark.createDataFrame(prints, PRINTS)
+    assert found(match_batches(*tables)) == found(match_batches(*tables, cuts=(1,))) == one | two
