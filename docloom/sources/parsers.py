@@ -32,7 +32,7 @@ MAX_CHARS = 5_000_000
 #: fixed values: formats that only get an identity card
 PLACEHOLDERS = (".dwg", ".dwt", ".prt", ".sldprt", ".asm", ".sldasm", ".mpp", ".vsd", ".one", ".ost", ".eps")
 #: fixed values: formats that need a library outside the standard one
-SLOTS = (".pdf", ".ai", ".msg", ".vsdx", ".cer", ".pem", ".crt", ".dxf", ".stl", ".evtx", ".pcap", ".pcapng", ".accdb", ".mdb", ".psd", ".7z")
+SLOTS = (".evtx", ".accdb", ".mdb", ".7z")
 CSV_LINES, MEMBERS, MEMBER_BYTES, MAILS, MAIL_CHARS, SHEET_ROWS = 100_000, 5_000, 500 << 20, 200, 5_000, 100_000
 
 
@@ -142,12 +142,6 @@ def printable_runs(content: bytes, least: int = 8) -> str:
     return "\n".join(r for r in runs if len(r) > least and sum(c.isalpha() or c.isspace() for c in r) * 2 > len(r))
 
 
-@register(".doc", ".xls")
-def old_office(name: str, content: bytes) -> tuple[str, float]:
-    text = printable_runs(content)
-    return text, _flag(text, 0.3)
-
-
 @register(".ppt")
 def old_slides(name: str, content: bytes) -> tuple[str, float]:
     """Text records of the binary stream (UTF-16 and single-byte), else printable runs."""
@@ -357,7 +351,6 @@ def iges(name: str, content: bytes) -> tuple[str, float]:
     return "\n".join(out), 0.8 if len(out) > 1 else 0.3
 
 
-@register(".jpg", ".jpeg", ".png", ".gif", ".webp", ".bmp", ".wmf", ".emf", ".tiff", ".tif")
 def image_card(name: str, content: bytes) -> tuple[str, float]:
     return f"[IMAGE_METADATA]\nFile: {PurePosixPath(name.replace('\\', '/')).name}\nType: {suffix(name)}\nSize: {len(content)}", 0.1
 
@@ -372,9 +365,30 @@ def slot(name: str, content: bytes) -> tuple[str, float]:
     raise Missing(suffix(name))
 
 
+#: another extractor, and when it is asked: "off", "prefer" (before the format's own parser) or "fallback" (where that gives nothing)
+BRIDGE: dict = {"mode": "off", "parser": None}
+
+
+def set_bridge(parser: Parser | None, mode: str = "fallback") -> None:
+    if mode not in ("off", "prefer", "fallback"):
+        raise ValueError("mode is one of off, prefer, fallback")
+    BRIDGE.update(mode=mode if parser else "off", parser=parser)
+
+
 def parse(name: str, content: bytes | None, max_chars: int = MAX_CHARS) -> tuple[str, float, str | None]:
     """(text, quality, reason of an empty text): unknown_format, library_missing, parse_error, empty or None."""
-    f = REGISTRY.get(suffix(name or ""))
+    if BRIDGE["mode"] == "prefer":
+        other = _parse_with(BRIDGE["parser"], name, content, max_chars)
+        if other[2] is None:
+            return other
+    own = _parse_with(REGISTRY.get(suffix(name or "")), name, content, max_chars)
+    if own[2] is not None and BRIDGE["mode"] == "fallback":
+        other = _parse_with(BRIDGE["parser"], name, content, max_chars)
+        return other if other[2] is None else own
+    return own
+
+
+def _parse_with(f: Parser | None, name: str, content: bytes | None, max_chars: int) -> tuple[str, float, str | None]:
     if f is None:
         return "", 0.0, "unknown_format"
     try:
@@ -386,13 +400,18 @@ def parse(name: str, content: bytes | None, max_chars: int = MAX_CHARS) -> tuple
     return (text[:max_chars], quality, None) if text.strip() else ("", 0.0, "empty")
 
 
-def parse_files(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """All columns of ``files`` but the content, with text, parse_quality, file_ext, file_size, empty_reason. Narrow, one row a file."""
+def parse_files(files: DataFrame, path: str = "path", content: str = "content", setup: Callable[[], None] | None = None) -> DataFrame:
+    """All columns of ``files`` but the content, with text, parse_quality, file_ext, file_size, empty_reason. Narrow, one row a file.
+
+    ``setup`` runs once in each task before the first file, to register parsers, steps or a bridge there.
+    """
     ship_package(files.sparkSession)
     keep = [c for c in files.columns if c not in (content,)]
     schema = files.select(*keep).schema.add("text", "string").add("parse_quality", "double").add("file_ext", "string").add("file_size", "long").add("empty_reason", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if setup is not None:
+            setup()
         for b in batches:
             names, data = b.column(keep.index(path)).to_pylist(), b.column(len(keep)).to_pylist()
             rows = [parse(n or "", d) for n, d in zip(names, data, strict=True)]
@@ -400,3 +419,6 @@ def parse_files(files: DataFrame, path: str = "path", content: str = "content")
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *cols], [*keep, "text", "parse_quality", "file_ext", "file_size", "empty_reason"])
 
     return files.select(*keep, content).mapInArrow(run, schema)
+
+
+from . import formats  # noqa: E402, F401 - registers the parsers of binary formats
