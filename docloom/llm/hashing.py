@@ -69,8 +69,8 @@ def blocks(texts: list, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of every text, and the offsets (len(texts) + 1) of each text's words."""
+def _words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word of every text, the texts' offsets, and the words' ends and the characters they stand in."""
     parts = [plain(t).encode() for t in texts]
     data = b" ".join(parts) + b" "
     low = LOWER[np.frombuffer(data, np.uint8)]
@@ -84,7 +84,19 @@ def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum(low.astype(U) * _powers("up", _BASE, len(low))[: len(low)], out=sums[1:])
     h = mix((sums[ends] - sums[starts]) * _powers("down", _BASE_INV, len(low) + 1)[starts])
     begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
-    return h, np.searchsorted(starts, begins)
+    return h, np.searchsorted(starts, begins), starts, ends, low
+
+
+def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of every text, and the offsets (len(texts) + 1) of each text's words."""
+    return _words(texts)[:2]
+
+
+def lettered_words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`word_hashes`, and whether at least half of each word's characters are letters."""
+    h, off, starts, ends, low = _words(texts)
+    digits = np.append(0, np.cumsum((low >= 48) & (low <= 57)))
+    return h, off, 2 * (digits[ends] - digits[starts]) <= ends - starts
 
 
 def shingles(h: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,15 +1,20 @@
 """Noise in texts from scanned pages (problem 3): layout traces, broken words and a noisy-channel correction of misread words.
 
-The language model is hashed unigram and bigram counts over all texts that are not laid out as wrapped pages; its size is fixed. A word
+The language model is hashed unigram and bigram counts over all texts that are not laid out as wrapped pages; its size is fixed, and what
+cells hold by chance at their load is taken off every count, so that unseen words stay unknown however large the corpus. A word
 the model hardly knows is compared with the words that character confusions lead back to; Viterbi picks the best sequence
 of candidates for each line by confusion probability times bigram likelihood. Confusion probabilities come from the published kinds of
 character confusions below and are re-estimated from the corrections of the corpus itself (one EM step).
+
+The texts are looked at once: what a page leaves open (doubtful words and their candidates) is kept beside it in the shared folder, and
+both the estimation and the decisions work on that.
 """
 
 from __future__ import annotations
 
 import difflib
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -19,17 +24,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import ship_package, widen
-from .hashing import U, blocks, mix, word_hashes
-from .sketches import merged_table, spread
+from ..plans.shared import materialize, ship_package, widen
+from .hashing import U, blocks, lettered_words, mix, word_hashes
+from .sketches import add_counts, merged_table, spread
 
 #: fixed values: character confusions of optical recognition, as "true read" pairs
 CONFUSIONS = [
     ("e", "c"), ("t", "f"), ("a", "@"), ("i", "l"), ("o", "0"), ("s", "5"), ("d", "cl"), ("l", "1"), ("m", "rn"), ("u", "ii"), ("g", "q"), ("h", "b"), ("b", "8"), ("w", "vv"),
     ("rn", "m"), ("cl", "d"), ("li", "h"), ("h", "li"), ("n", "ri"), ("k", "lc"), ("i", "1"), ("i", "!"), ("i", "|"), ("l", "|"), ("l", "!"), ("l", "i"), ("z", "2"), ("g", "9"), ("b", "6"), ("s", "$"), ("o", "c"), ("c", "e"), ("f", "t"), ("u", "v"), ("v", "u"), ("a", "o"), ("o", "a"), ("nn", "m"), ("q", "9"), ("y", "v"),
 ]
-UNI_BITS, BI_BITS = 21, 20
+#: the model has three tables (words by two hashes, pairs of words) of so many cells: one for every so many characters, within these powers of two
+CHARS_PER_CELL, LEAST_BITS, MOST_BITS = 48, 18, 22
+#: a word is known from so many occurrences on, beyond what a cell holds by chance
 KNOWN = 2
+#: share of unseen words that chance may make known
+CHANCE = 0.001
 #: prior count of a word that the model has never seen
 UNSEEN = 1e-5
 CLEAR = 0.995
@@ -58,7 +67,7 @@ def page_value(n: str) -> int:
 def is_wrapped(lines: list[str]) -> bool:
     """Whether the text is broken into short lines like a page: many lines begin in the middle of a sentence."""
     full = [x.strip() for x in lines if x.strip()]
-    return len(full) >= 4 and sum(x[0].islower() for x in full) >= 0.2 * len(full)
+    return len(full) >= 2 and sum(x[0].islower() for x in full) >= 0.2 * len(full)
 
 
 def _rising(values: list[int]) -> bool:
@@ -69,10 +78,19 @@ def _rising(values: list[int]) -> bool:
 
 def _chain(found: list[tuple[int, int]]) -> list[int]:
     """Longest run of (line, value) rows whose values rise by one to three from row to row, as indices."""
-    best: list[list[int]] = []
+    size, before = [0] * len(found), [-1] * len(found)
+    last: dict[int, int] = {}  # value -> row of the longest run that ends in it
     for k, (_, v) in enumerate(found):
-        best.append(max((best[j] for j in range(max(0, k - 50), k) if 1 <= v - found[j][1] <= 3), key=len, default=[]) + [k])
-    return max(best, key=len, default=[])
+        j = max((last[v - d] for d in (1, 2, 3) if v - d in last), key=lambda j: (size[j], -j), default=-1)
+        size[k], before[k] = (size[j] + 1 if j >= 0 else 1), j
+        if v not in last or size[k] > size[last[v]]:
+            last[v] = k
+    at = max(range(len(found)), key=lambda k: (size[k], -k), default=-1)
+    out = []
+    while at >= 0:
+        out.append(at)
+        at = before[at]
+    return out[::-1]
 
 
 def _bare_form(x: str) -> str:
@@ -176,37 +194,39 @@ def _alike(a: str, b: str) -> bool:
     return m.real_quick_ratio() >= 0.82 and m.quick_ratio() >= 0.82 and m.ratio() >= 0.82
 
 
-def count_words(texts: DataFrame) -> np.ndarray:
-    """Hashed unigrams (twice hashed) and bigrams of the texts (text) that are not wrapped."""
-    size = 1 << UNI_BITS
+def count_words(texts: DataFrame, bits: int) -> np.ndarray:
+    """Hashed words (twice) and pairs of words of the texts (text) that are not wrapped, ``2 ** bits`` cells each, and the number of words last.
+
+    Counted are words at least half of letters: only such words are ever asked for, and numbers, dates and codes have no end.
+    """
+    size = 1 << bits
 
     def fold(table: np.ndarray, b: pa.RecordBatch) -> None:
         t = [x for x in b.column(0).to_pylist() if x and not is_wrapped(x.split("\n"))]
         for i, j in blocks(t):
-            h, off = word_hashes(t[i:j])
+            h, off, ok = lettered_words(t[i:j])
             doc = np.repeat(np.arange(j - i), np.diff(off))
+            every = h[ok]
             joined = [c for x in t[i:j] for c in COMPOUND.findall(x.lower())]
             if joined:
                 h2, off2 = word_hashes([c.replace("-", " ") for c in joined])
-                h_all = np.append(h, _compound(h2, off2))
-            else:
-                h_all = h
-            for place in _places(h_all):
-                table[:size] += np.bincount(place, minlength=size).astype(np.uint32)
-            pair = _pair(h[:-1], h[1:])[doc[:-1] == doc[1:]] if len(h) > 1 else np.empty(0, U)
-            table[size : size + (1 << BI_BITS)] += np.bincount((pair >> U(64 - BI_BITS)).astype(np.int64), minlength=1 << BI_BITS).astype(np.uint32)
-            table[-1] += len(h)
+                every = np.append(every, _compound(h2, off2))
+            for k, place in enumerate(_places(every, bits)):
+                add_counts(table[k * size : (k + 1) * size], place)
+            if len(h) > 1:
+                pair = _pair(h[:-1], h[1:])[(doc[:-1] == doc[1:]) & ok[:-1] & ok[1:]]
+                add_counts(table[2 * size : 3 * size], (pair >> U(64 - bits)).astype(np.int64))
+            table[-1] = min(int(table[-1]) + int(ok.sum()), np.iinfo(np.uint32).max)
 
-    return merged_table(texts, 2 * size, "uint32", fold, "sum")[0]
+    return merged_table(texts, 4 * size, "uint32", fold, "sum")[0]
 
 
 def _compound(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(h * U(0x9FB21C651E98DF25) + (np.arange(len(h)) - np.repeat(off[:-1], np.diff(off))).astype(U), off[:-1]))
 
 
-def _places(h: np.ndarray) -> list[np.ndarray]:
-    half = 1 << (UNI_BITS - 1)
-    return [(h >> U(65 - UNI_BITS)).astype(np.int64), (mix(h ^ U(0x2545F4914F6CDD1D)) >> U(65 - UNI_BITS)).astype(np.int64) + half]
+def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [(h >> U(64 - bits)).astype(np.int64), (mix(h ^ U(0x2545F4914F6CDD1D)) >> U(64 - bits)).astype(np.int64)]
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -217,14 +237,20 @@ class Channel:
     """Language model and character confusions."""
 
     def __init__(self, table: np.ndarray, weights: dict[tuple[str, str], float] | None = None) -> None:
-        self.table = table
+        self.bits = int(len(table)).bit_length() - 3
+        size = 1 << self.bits
+        self.one, self.two, self.bigrams = table[:size], table[size : 2 * size], table[2 * size : 3 * size]
         self.total = max(1, int(table[-1]))
+        # what an unseen word finds: the lesser of two cells, in all but a small share of the cases
+        at = np.arange(min(size, 1 << 17), dtype=U)
+        a, b = ((mix(at + U(k << 40)) % U(size)).astype(np.int64) for k in (1, 2))
+        self.noise = int(np.quantile(np.minimum(self.one[a], self.two[b]), 1 - CHANCE, method="higher"))
+        self.noise = 0 if self.noise < KNOWN else self.noise
         even = 1.0 / len(CONFUSIONS)
-        self.weight = {p: math.log((weights or {}).get(p, even) * (1 - CLEAR)) for p in CONFUSIONS}
-        self.by_read: dict[str, list[tuple[str, str]]] = {}
-        for true, read in CONFUSIONS:
-            self.by_read.setdefault(read, []).append((true, read))
-        self.bigrams = table[1 << UNI_BITS :]
+        self.weight = [math.log((weights or {}).get(p, even) * (1 - CLEAR)) for p in CONFUSIONS]
+        self.by_read: dict[str, list[tuple[str, int]]] = {}
+        for k, (true, read) in enumerate(CONFUSIONS):
+            self.by_read.setdefault(read, []).append((true, k))
 
     def hashes(self, words: list[str]) -> dict[str, int]:
         """Hash of every word that is one run of letters and digits."""
@@ -235,9 +261,9 @@ class Channel:
     def counts(self, hashes: list[int]) -> list[int]:
         if not hashes:
             return []
-        h = np.array(hashes, U)
-        a, b = _places(h)
-        return np.minimum(self.table[a], self.table[b]).tolist()
+        a, b = _places(np.array(hashes, U), self.bits)
+        found = np.minimum(self.one[a], self.two[b]).astype(np.int64)
+        return np.maximum(found - self.noise, 0).tolist()
 
     def hyphened(self, pairs: list[tuple[str, str]]) -> list[int]:
         if not pairs:
@@ -245,28 +271,27 @@ class Channel:
         h, off = word_hashes([f"{a} {b}" for a, b in pairs])
         return self.counts(_compound(h, off).tolist())
 
-    def readings(self, word: str) -> dict[str, float]:
-        """Words that at most two confusions lead back to, with the log probability of the way."""
-        out: dict[str, float] = {}
-        level = {word: (0.0, 0)}
-        for _ in range(2):
-            nxt: dict[str, tuple[float, int]] = {}
-            for w, (p, start) in level.items():
-                for i in range(start, len(w)):
-                    for size in (1, 2):
-                        for pair in self.by_read.get(w[i : i + size], ()):
-                            if len(w[i : i + size]) < size:
-                                continue
-                            v = w[:i] + pair[0] + w[i + size :]
-                            q = p + self.weight[pair]
-                            if v.isalpha() and q > out.get(v, -1e9):
-                                out[v] = q
-                            if q > nxt.get(v, (-1e9, 0))[0]:
-                                nxt[v] = (q, i + len(pair[0]))
-            level = nxt
+    def readings(self, word: str) -> dict[str, tuple[int, ...]]:
+        """Words that at most two confusions lead back to, with the confusions of the likeliest way."""
+        ways = [(i, i + size, true, k) for i in range(len(word)) for size in (1, 2) if i + size <= len(word) for true, k in self.by_read.get(word[i : i + size], ())]
+        out: dict[str, tuple[int, ...]] = {}
+
+        def add(v: str, used: tuple[int, ...]) -> None:
+            if v.isalpha() and (v not in out or self.way(used) > self.way(out[v])):
+                out[v] = used
+
+        for n, (i, j, true, k) in enumerate(ways):
+            add(word[:i] + true + word[j:], (k,))
+            for i2, j2, true2, k2 in ways[n + 1 :]:
+                if i2 >= j:
+                    add(word[:i] + true + word[j:i2] + true2 + word[j2:], (k, k2))
         out.pop(word, None)
         return out
 
+    def way(self, used: tuple[int, ...]) -> float:
+        """Log probability of confusions."""
+        return sum(self.weight[k] for k in used)
+
     def pair_count(self, a: int, b: int) -> int:
         x = (a * 0xC2B2AE3D27D4EB4F + b) & _M
         x ^= x >> 30
@@ -274,7 +299,7 @@ class Channel:
         x ^= x >> 27
         x = (x * 0x94D049BB133111EB) & _M
         x ^= x >> 31
-        return int(self.bigrams[x >> (64 - BI_BITS)])
+        return int(self.bigrams[x >> (64 - self.bits)])
 
 
 def _core(token: str) -> tuple[int, str]:
@@ -368,91 +393,96 @@ def _changed(observed: str, true: str) -> int:
     return n
 
 
-def repair(texts: list[str], channel: Channel) -> list[dict]:
-    """For each text: ``defects`` {(line, defect)}, ``fixes`` {line: [(read, true)]}, ``breaks`` {line: True if the hyphen goes}."""
+def observe(texts: list[str | None], channel: Channel) -> list[dict | None]:
+    """What each wrapped text leaves to decide: layout, broken words, lines with doubtful words, their candidates and counts; None for other texts."""
     pages = [Page(t) if t else None for t in texts]
     vocabulary = {w for p in pages if p for _, row in p.words for w in row}
     glued = {(a + b).lower() for p in pages if p for _, _, a, b in p.breaks} | {x.lower() for p in pages if p for b in p.breaks for x in b[2:]}
     hashes = channel.hashes([*vocabulary, *glued])
     count = dict(zip(hashes, channel.counts(list(hashes.values())), strict=True))
-    unsure = [w for w in vocabulary | glued if count.get(w, 0) < KNOWN and _suspect(w)]
-    reach = {w: channel.readings(w) for w in unsure}
+    reach = {w: channel.readings(w) for w in vocabulary | glued if count.get(w, 0) < KNOWN and _suspect(w)}
     cand = channel.hashes(list({c for r in reach.values() for c in r}))
     cand_count = dict(zip(cand, channel.counts(list(cand.values())), strict=True))
     options = {}
     for w, r in reach.items():
-        good = [(c, p, cand_count[c]) for c, p in r.items() if cand_count.get(c, 0) >= KNOWN and len(c) >= 2]
+        good = [(c, used, cand_count[c]) for c, used in r.items() if cand_count.get(c, 0) >= KNOWN and len(c) >= 2]
         if good:
-            options[w] = [(w, math.log(CLEAR), 0), *sorted(good, key=lambda x: -(x[1] + math.log(x[2])))[:8]]
-    known = hashes | cand
+            options[w] = good
     pairs = list({(b[2].lower(), b[3].lower()) for p in pages if p for b in p.breaks})
     hyphen = dict(zip(pairs, channel.hyphened(pairs), strict=True))
-    out = []
+    out: list[dict | None] = []
     for p in pages:
-        result: dict = {"defects": set(), "fixes": {}, "breaks": {}, "page": p}
-        out.append(result)
         if p is None or not p.wrapped:
+            out.append(None)
             continue
-        for i, kind in p.layout.items():
-            result["defects"].add((i, kind))
-        for i, j, a, b in p.breaks:
-            a, b = a.lower(), b.lower()
-            word = a + b
-            whole, own = count.get(word, 0), hyphen[(a, b)]
-            fixed = None
-            if whole < KNOWN and own < KNOWN and word in options:
-                fixed = max(options[word][1:], key=lambda x: x[1] + math.log(x[2]))[0]
-            if own >= KNOWN and own >= whole:
-                split = False
-            elif whole >= KNOWN or fixed:
-                split = True
-            else:
-                split = not (count.get(a, 0) >= KNOWN and count.get(b, 0) >= KNOWN)
-            if not split:
-                result["breaks"][i] = False
-                for line, part in ((i, a), (j, b)):
-                    if part in options:
-                        result["defects"].add((line, "misread"))
-                        result["fixes"].setdefault(line, []).append((part, options[part][1][0]))
-                continue
-            result["breaks"][i] = True
-            result["defects"].add((i, "split_word"))
-            if fixed:
-                line = i if _changed(word, fixed) < len(a) else j
-                result["defects"].add((line, "misread"))
-                result["fixes"].setdefault(line, []).append((word, fixed))
+        breaks = [(i, j, a.lower(), b.lower(), hyphen[a.lower(), b.lower()]) for i, j, a, b in p.breaks]
         said = [w for _, row in p.words for w in row]
         prose = sum(count.get(w, 0) >= KNOWN for w in said) >= 0.7 * len(said)
-        for i, row in p.words:
-            # a line that is mostly unknown is no text of the language at all
-            if not any(w in options for w in row) or (2 * sum(count.get(w, 0) >= KNOWN for w in row) < len(row) and not (prose and len(row) <= 4)):
-                continue
-            for read, true in zip(row, _sequence(channel, row, options, known, count), strict=True):
-                if read != true:
-                    result["defects"].add((i, "misread"))
-                    result["fixes"].setdefault(i, []).append((read, true))
+        # a line that is mostly unknown is no text of the language at all
+        rows = [(i, row) for i, row in p.words if any(w in options for w in row) and not (2 * sum(count.get(w, 0) >= KNOWN for w in row) < len(row) and not (prose and len(row) <= 4))]
+        asked = {w for _, row in rows for w in row} | {x for _, _, a, b, _ in breaks for x in (a, b, a + b)}
+        out.append({"layout": p.layout, "breaks": breaks, "rows": rows, "options": {w: options[w] for w in asked if w in options}, "count": {w: count[w] for w in asked if w in count}})
     return out
 
 
+def decide(page: dict | None, channel: Channel) -> dict:
+    """``defects`` {(line, defect)}, ``fixes`` {line: [(read, true)]}, ``breaks`` {line: True if the hyphen goes} and the layout."""
+    result: dict = {"defects": set(), "fixes": {}, "breaks": {}, "layout": page["layout"] if page else None}
+    if page is None:
+        return result
+    count = page["count"]
+    weighed = {w: sorted(((c, channel.way(used), n) for c, used, n in good), key=lambda x: (-(x[1] + math.log(x[2])), x[0])) for w, good in page["options"].items()}
+    result["defects"] |= set(page["layout"].items())
+    for i, j, a, b, own in page["breaks"]:
+        word = a + b
+        whole = count.get(word, 0)
+        fixed = weighed[word][0][0] if whole < KNOWN and own < KNOWN and word in weighed else None
+        if own >= KNOWN and own >= whole:
+            split = False
+        elif whole >= KNOWN or fixed:
+            split = True
+        else:
+            split = not (count.get(a, 0) >= KNOWN and count.get(b, 0) >= KNOWN)
+        if not split:
+            result["breaks"][i] = False
+            for line, part in ((i, a), (j, b)):
+                if part in weighed:
+                    result["defects"].add((line, "misread"))
+                    result["fixes"].setdefault(line, []).append((part, weighed[part][0][0]))
+            continue
+        result["breaks"][i] = True
+        result["defects"].add((i, "split_word"))
+        if fixed:
+            line = i if _changed(word, fixed) < len(a) else j
+            result["defects"].add((line, "misread"))
+            result["fixes"].setdefault(line, []).append((word, fixed))
+    options = {w: [(w, math.log(CLEAR), 0), *good] for w, good in weighed.items()}
+    known = channel.hashes(list({w for _, row in page["rows"] for w in row} | {c for good in weighed.values() for c, _, _ in good}))
+    for i, row in page["rows"]:
+        for read, true in zip(row, _sequence(channel, row, options, known, count), strict=True):
+            if read != true:
+                result["defects"].add((i, "misread"))
+                result["fixes"].setdefault(i, []).append((read, true))
+    return result
+
+
 def _like(read: str, true: str) -> str:
     return true.upper() if read.isupper() and len(read) > 1 else true.capitalize() if read[:1].isupper() else true
 
 
 def repaired_text(text: str, result: dict) -> str:
     """Continuous paragraphs: layout lines dropped, broken words joined, misread words replaced, lines of a paragraph joined by blanks."""
-    p = result["page"]
-    if p is None or not p.wrapped:
+    if result["layout"] is None:
         return text.strip() if text else text
     parts: list[str] = []
     joint = blank = False
-    body = set(p.body)
     cut = False
-    for i, raw in enumerate(p.lines):
-        if i in p.layout:
+    for i, raw in enumerate(text.split("\n")):
+        if i in result["layout"]:
             cut = True
             continue
         x = raw.strip(" \t\r\x0c")
-        if i not in body or not x:
+        if not x:
             blank = True
             continue
         for read, true in result["fixes"].get(i, ()):
@@ -478,25 +508,26 @@ def repaired_text(text: str, result: dict) -> str:
     return joined
 
 
-def _learn(texts: DataFrame, shared) -> dict[tuple[str, str], float]:
+STATE = "file_id bigint, text string, page binary"
+
+
+def _learn(pages: DataFrame, shared) -> dict[tuple[str, str], float]:
     """Confusion probabilities from the corrections themselves: counts by pair, a table of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         channel = Channel(shared.value)
         seen: Counter = Counter()
         for b in batches:
-            t = b.column(1).to_pylist()
-            for i, j in blocks(t):
-                for r in repair(t[i:j], channel):
-                    for fixes in r["fixes"].values():
-                        for read, true in fixes:
-                            a = _changed(read, true)
-                            for k, (x, y) in enumerate(CONFUSIONS):
-                                if true[a : a + len(x)] == x and read[a : a + len(y)] == y:
-                                    seen[k] += 1
+            for page in b.column(0).to_pylist():
+                for fixes in decide(pickle.loads(page), channel)["fixes"].values():  # noqa: S301 - written by this job
+                    for read, true in fixes:
+                        a = _changed(read, true)
+                        for k, (x, y) in enumerate(CONFUSIONS):
+                            if true[a : a + len(x)] == x and read[a : a + len(y)] == y:
+                                seen[k] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["k", "n"])
 
-    rows = texts.mapInArrow(run, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    rows = pages.where("page is not null").select("page").mapInArrow(run, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()
     n = {r["k"]: r["n"] for r in rows}
     total = sum(n.values()) + len(CONFUSIONS)
     return {p: (n.get(k, 0) + 1) / total for k, p in enumerate(CONFUSIONS)}
@@ -507,26 +538,39 @@ def repair_scans(docs: DataFrame, id_col: str = "file_id", text_col: str = "text
 
     Texts that aren't laid out as wrapped pages come back trimmed, without defects; null texts stay null; rows with a null id are ignored;
     repeated rows stay repeated; other columns are ignored. Whether a text stems from a scan is told from the text itself, since runs
-    that skip recognition also meet pages scanned elsewhere.
+    that skip recognition also meet pages scanned elsewhere; a text in one line, or in a script without letter case, counts as no page.
     """
     spark = docs.sparkSession
     ship_package(spark)
     rows = widen(docs.select(F.col(id_col).cast("bigint").alias("file_id"), F.col(text_col).alias("text")).where("file_id is not null"))
-    shared = spread(docs, count_words(rows.select("text")))
-    weights = _learn(rows.where("text is not null"), shared) if learn else None
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, (chars // CHARS_PER_CELL).bit_length()))
+    shared = spread(docs, count_words(rows.select("text"), bits))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        channel = Channel(shared.value, weights)
-        kind = pa.list_(pa.struct([("line_no", pa.int64()), ("defect", pa.string())]))
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        channel = Channel(shared.value)
         for b in batches:
             t = b.column(1).to_pylist()
             for i, j in blocks(t):
-                res = repair(t[i:j], channel)
-                fixed = [repaired_text(x, r) if x is not None else None for x, r in zip(t[i:j], res, strict=True)]
-                defects = [[{"line_no": line + 1, "defect": d} for line, d in sorted(r["defects"])] for r in res]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(fixed, pa.string()), pa.array(defects, kind)], ["file_id", "text", "defects"])
+                pages = [pickle.dumps(p) if p is not None else None for p in observe(t[i:j], channel)]
+                part = b.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(pages, pa.binary())], ["file_id", "text", "page"])
+
+    seen = materialize(rows.mapInArrow(look, STATE))
+    weights = _learn(seen, shared) if learn else None
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        channel = Channel(shared.value, weights)
+        kind = pa.list_(pa.struct([("line_no", pa.int64()), ("defect", pa.string())]))
+        for b in batches:
+            fixed, defects = [], []
+            for t, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                r = decide(pickle.loads(page) if page is not None else None, channel)  # noqa: S301 - written by this job
+                fixed.append(repaired_text(t, r) if t is not None else None)
+                defects.append([{"line_no": line + 1, "defect": d} for line, d in sorted(r["defects"])])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fixed, pa.string()), pa.array(defects, kind)], ["file_id", "text", "defects"])
 
-    return rows.mapInArrow(run, "file_id bigint, text string, defects array<struct<line_no: bigint, defect: string>>")
+    return seen.mapInArrow(finish, "file_id bigint, text string, defects array<struct<line_no: bigint, defect: string>>")
 
 
-__all__ = ["CONFUSIONS", "Channel", "Page", "count_words", "layout", "repair", "repair_scans", "repaired_text"]
+__all__ = ["CONFUSIONS", "Channel", "Page", "count_words", "decide", "layout", "observe", "repair_scans", "repaired_text"]
