@@ -52,26 +52,13 @@ def boundaries(text: str, most_heading: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(places, np.int64), np.array([cost[p] for p in places], float)
 
 
-def cut(text: str, size: int, overlap: int, most_heading: int = 160) -> list[tuple[int, int]]:
-    """(start, end) of each piece of ``text``; one piece if it fits.
+def candidates(text: str, step: int, most_heading: int) -> tuple[np.ndarray, np.ndarray]:
+    """All positions at which a piece may end, the text's end last, and their penalties.
 
-    ``size`` is taken as at least 1 and ``overlap`` as 0 <= overlap < size. Where no natural boundary lies within reach, hard cuts are
-    allowed, so that every text has a solution.
+    These are all boundaries, and hard cuts at an eighth of a step wherever a stretch without any boundary is longer than half a step.
     """
-    size = max(1, size)
-    overlap = min(max(0, overlap), size - 1)
-    n = len(text)
-    if n <= size:
-        return [(0, n)] if n else []
-    step = size - overlap
     place, penalty = boundaries(text, most_heading)
-    # cuts between words only where a stretch without a better boundary is longer than a third of a step, and hard cuts only
-    # where a stretch without any boundary is longer than half a step
-    good = np.concatenate([[0], place[penalty != BLANK], [n]])
-    wide = np.diff(good) > step // 3
-    keep = (penalty != BLANK) | wide[np.clip(np.searchsorted(good, place, "right") - 1, 0, len(wide) - 1)]
-    place, penalty = place[keep], penalty[keep]
-    edges = np.concatenate([[0], place, [n]])
+    edges = np.concatenate([[0], place, [len(text)]])
     wide = np.flatnonzero(np.diff(edges) > max(1, step // 2))
     if len(wide):
         pitch = max(1, step // 8)
@@ -79,34 +66,81 @@ def cut(text: str, size: int, overlap: int, most_heading: int = 160) -> list[tup
         place, penalty = np.append(place, hard), np.append(penalty, np.full(len(hard), HARD))
         order = np.argsort(place, kind="stable")
         place, penalty = place[order], penalty[order]
+    return np.append(place, len(text)), np.append(penalty, 0.0)
+
+
+def cut_all(texts: list[str], settings: list[tuple[int, int, int]], block: int = 64) -> list[list[tuple[int, int]]]:
+    """(start, end) of each piece of each text, given its (size, overlap, heading limit); one piece if it fits, none if it is empty.
+
+    ``size`` is taken as at least 1 and ``overlap`` as 0 <= overlap < size. Every way through the candidates is weighed: the texts of a block
+    go through their candidates together, one dynamic programme each.
+    """
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    todo = []
+    for i, (text, (size, overlap, heading)) in enumerate(zip(texts, settings, strict=True)):
+        size = max(1, size)
+        overlap = min(max(0, overlap), size - 1)
+        if len(text) > size:
+            todo.append((i, size, overlap, *candidates(text, size - overlap, heading)))
+        elif text:
+            out[i] = [(0, len(text))]
+    todo.sort(key=lambda x: len(x[3]))
+    for at in range(0, len(todo), block):
+        part = todo[at : at + block]
+        for (i, _, overlap, ends, _), ways in zip(part, _cheapest(part), strict=True):
+            out[i] = [(int(ends[p]) - overlap if p >= 0 else 0, int(ends[j])) for p, j in zip([-1, *ways], ways, strict=False)]
+    return out
+
+
+def _cheapest(part: list[tuple]) -> list[list[int]]:
+    """Indices of the chosen ends of each text."""
+    t, m = len(part), max(len(x[3]) for x in part)
+    size, overlap = (np.array([x[k] for x in part], float) for k in (1, 2))
+    step = size - overlap
+    n = np.array([x[3][-1] for x in part], float)
     # the first piece may reach ``size``, any later one adds at most ``step`` new characters
-    pieces = 1 + -(-(n - size) // step)
-    ideal = (n - overlap) / pieces
-    ends = np.append(place, n)
-    best = np.full(len(ends), np.inf)
-    from_ = np.full(len(ends), -1, np.int64)
-    low = np.searchsorted(ends, ends - step, "left")
-    for j in range(len(ends)):
-        e = ends[j]
-        own = penalty[j] if j < len(place) else 0.0
-        if e <= size:
-            best[j] = own + BALANCE * ((e - overlap - ideal) / ideal) ** 2
-        a, z = int(low[j]), j
-        # an earlier cut must lie beyond the overlap, so that the next piece begins inside the text
-        a = max(a, int(np.searchsorted(ends, overlap + 1, "left")))
-        if a < z:
-            c = best[a:z] + BALANCE * ((e - ends[a:z] - ideal) / ideal) ** 2 + own
-            k = int(np.argmin(c))
-            if c[k] < best[j]:
-                best[j], from_[j] = c[k], a + k
-    if not np.isfinite(best[-1]):
-        return [(max(0, i * step), min(n, i * step + size)) for i in range(pieces)]
-    out, j = [], len(ends) - 1
-    while j >= 0:
-        p = from_[j]
-        out.append((int(ends[p]) - overlap if p >= 0 else 0, int(ends[j])))
-        j = p
-    return out[::-1]
+    ideal = (n - overlap) / (1 + np.ceil((n - size) / step))
+    width = max(int((np.arange(len(x[3])) - np.searchsorted(x[3], x[3] - (x[1] - x[2]), "left")).max()) for x in part)
+    width = max(1, width)
+    ends = np.full((t, width + m), -np.inf)
+    own = np.full((t, m), np.inf)
+    for r, x in enumerate(part):
+        ends[r, width : width + len(x[3])] = x[3]
+        own[r, : len(x[4])] = x[4]
+    best = np.full((t, width + m), np.inf)
+    from_ = np.full((t, m), -1, np.int64)
+    rows = np.arange(t)
+    scaled = ends / ideal[:, None]
+    # an earlier cut must lie beyond the overlap, so that the next piece begins inside the text
+    usable = ends > overlap[:, None]
+    lowest = (ends - step[:, None])[:, width:]
+    for j in range(m):
+        e = ends[:, width + j]
+        alone = np.where(e <= size, BALANCE * ((e - overlap) / ideal - 1) ** 2, np.inf)
+        window = slice(j, j + width)
+        off = (scaled[:, width + j] - 1)[:, None] - scaled[:, window]
+        cost = best[:, window] + BALANCE * off * off
+        cost[~usable[:, window] | (ends[:, window] < lowest[:, j : j + 1])] = np.inf
+        k = cost.argmin(1)
+        joined = cost[rows, k]
+        after = joined < alone
+        best[:, width + j] = np.where(after, joined, alone) + own[:, j]
+        from_[:, j] = np.where(after, j + k - width, -1)
+    out = []
+    for r, x in enumerate(part):
+        j, ways = len(x[3]) - 1, []
+        if not np.isfinite(best[r, width + j]):  # cannot be: hard cuts leave no stretch that a step does not cross
+            raise AssertionError("no admissible cut")
+        while j >= 0:
+            ways.append(j)
+            j = int(from_[r, j])
+        out.append(ways[::-1])
+    return out
+
+
+def cut(text: str, size: int, overlap: int, most_heading: int = 160) -> list[tuple[int, int]]:
+    """The pieces of one text, as in :func:`cut_all`."""
+    return cut_all([text], [(size, overlap, most_heading)])[0]
 
 
 def split_texts(docs: DataFrame, runs: DataFrame, id_col: str = "file_id", text_col: str = "text", run_col: str = "run_id") -> DataFrame:
@@ -125,11 +159,8 @@ def split_texts(docs: DataFrame, runs: DataFrame, id_col: str = "file_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
-            for i, t, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if r not in settings:
-                    continue
-                t = t.strip()
-                spans = cut(t, *settings[r])
+            kept = [(i, t.strip(), settings[r]) for i, t, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True) if r in settings]
+            for (i, t, _), spans in zip(kept, cut_all([x[1] for x in kept], [x[2] for x in kept]), strict=True):
                 rows += [(i, k, len(spans), a, z, t[a:z]) for k, (a, z) in enumerate(spans, 1)]
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
