@@ -1,8 +1,8 @@
 """Text statistics and types (problem 7): thresholds as noisy labelling functions, accuracies by expectation-maximisation.
 
-Every statistic's threshold votes for a type or abstains. The number of documents with each combination of votes is all that the
-learning needs; expectation-maximisation on the agreements gives each function's confusion table without labels, and every
-document gets the posterior of its combination.
+Every statistic's threshold votes for a type or abstains; what most of the lines are is one vote among them. The number of documents with
+each combination of votes is all that the learning needs; expectation-maximisation on the agreements gives each function's confusion
+table without labels, and every document gets the posterior of its combination, which decides the type.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ LEADER = re.compile(r"\.{3,}\s*\d+\s*$")
 PAIRS = re.compile(r"[\w ]{1,30}: [^,:]*")
 GAPS = re.compile(r"\S(?: {3,}|\t+)(?=\S)")
 DELIMITED = re.compile(r"[\t|;,]| {3}")
-STATS = ["words", "chars", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_share", "good_share", "line_words", "list_share", "table_share", "junk_share", "prose_share", "delimited_lines", "digit_ratio"]
+STATS = ["words", "chars", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_share", "good_share", "line_words", "list_share", "table_share", "junk_share", "prose_share", "delimited_lines", "digit_ratio", "marked_lines"]
+RULE = re.compile(r"[\s|+:=_-]+")
 
 
 def _readable(line: str) -> float:
@@ -65,6 +66,12 @@ def _delimiters(line: str) -> tuple[str, int]:
     return ("gap", n) if n > best[1] and "\t" not in line else best
 
 
+def _filled(line: str) -> bool:
+    """Whether a row of columns holds letters and digits rather than stray signs, or is a rule between rows."""
+    inner = [c for c in line if not c.isspace() and c not in "|\t;,"]
+    return 2 * sum(map(str.isalnum, inner)) >= len(inner) or bool(RULE.fullmatch(line))
+
+
 def line_kinds(lines: list[str], cut: list[tuple[str, int]]) -> list[str]:
     """prose, list, table, junk or blank for each line, given each line's delimiters."""
     full = [i for i, x in enumerate(lines) if x.strip()]
@@ -76,7 +83,7 @@ def line_kinds(lines: list[str], cut: list[tuple[str, int]]) -> list[str]:
         common = sum(w.lower() in COMMON for w in words)
         plain = common > 0
         d, n = cut[i]
-        if n >= 2 and any(cut[j][0] == d and abs(cut[j][1] - n) <= max(1, n // 3) for j in near) and d != "|" or (d in ("|", "\t") and n >= 2) or x.startswith("[SHEET]"):
+        if ((n >= 2 and any(cut[j][0] == d and abs(cut[j][1] - n) <= max(1, n // 3) for j in near) and d != "|" or (d in ("|", "\t") and n >= 2)) and _filled(x)) or x.startswith("[SHEET]"):
             out[i] = "table"
         elif not (common >= max(2, 0.15 * len(words)) and sum(map(len, words)) > 0.7 * (len(x) - x.count(" "))) and _readable(x) < 0.6 and not LEADER.search(x):
             out[i] = "junk"
@@ -117,6 +124,7 @@ def statistics(text: str | None) -> list[float]:
         sum(w.lower() in COMMON for w in words) / n, good / max(1, sum(map(len, words))), len(words) / max(1, len(full)),
         chars["list"] / total, chars["table"] / total, chars["junk"] / total, chars["prose"] / total,
         sum(n >= 2 for (_, n), x in zip(cut, lines, strict=True) if x.strip()) / max(1, len(full)), sum(c.isdigit() for c in text or "") / max(1, visible),
+        sum(bool(MARKER.match(x) or LEADER.search(x)) for x in lines) / max(1, len(full)),
     ]
 
 
@@ -124,19 +132,19 @@ def votes(s: list[float]) -> str:
     """One letter per labelling function: the type's number, or '-' for an abstention."""
     x = dict(zip(STATS, s, strict=True))
     pick = lambda yes, kind: str(TYPES.index(kind)) if yes else "-"
+    most = max(TYPES, key=lambda k: x[f"{k}_share"])
     return "".join(
         [
-            pick(x["prose_share"] > 0.5, "prose"),
-            pick(x["list_share"] > 0.5, "list"),
-            pick(x["table_share"] > 0.5, "table"),
-            pick(x["junk_share"] > 0.5, "junk"),
+            pick(x[f"{most}_share"] > 0.5, most),
             pick(x["common_share"] > 0.2, "prose"),
+            pick(x["common_share"] > 0.08 and x["line_words"] > 6, "prose"),
             pick(x["punctuated_lines"] > 0.7 and x["line_words"] > 8, "prose"),
             pick(x["line_words"] < 5 and x["common_share"] < 0.05 and x["symbol_ratio"] < 0.15 and x["good_share"] > 0.6, "list"),
-            pick(x["delimited_lines"] > 0.6, "table"),
+            pick(x["marked_lines"] > 0.5, "list"),
+            pick(x["delimited_lines"] > 0.6 and x["symbol_ratio"] < 0.35, "table"),
+            pick(x["digit_ratio"] > 0.15 and x["delimited_lines"] > 0.4, "table"),
             pick(x["symbol_ratio"] > 0.35, "junk"),
             pick(x["good_share"] < 0.4, "junk"),
-            pick(x["digit_ratio"] > 0.15 and x["delimited_lines"] > 0.4, "table"),
         ]
     )
 
@@ -179,7 +187,7 @@ def text_types(docs: DataFrame, id_col: str = "file_id", text_col: str = "text")
     """Statistics, posterior of each type and the likeliest ``kind`` of every row with an id.
 
     Null, empty and blank texts have zero statistics, kind and posteriors null. Repeated rows stay repeated; other columns are ignored.
-    The vote combinations that reach the driver number at most the product of the functions' two outcomes (2,048), whatever the corpus.
+    The vote combinations that reach the driver number at most the product of the functions' outcomes (2,560), whatever the corpus.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -200,9 +208,6 @@ def text_types(docs: DataFrame, id_col: str = "file_id", text_col: str = "text")
 
 
 def not_prose(docs: DataFrame) -> DataFrame:
-    """``(file_id, kind)`` of the rows of which more than half of the characters are not prose."""
+    """``(file_id, kind)`` of the rows whose posterior type isn't prose, if indeed no more than half of their characters stand in prose."""
     t = text_types(docs)
-    other = F.greatest("p_list", "p_table", "p_junk")
-    named = F.when(F.col("p_list") == other, "list").when(F.col("p_table") == other, "table").otherwise("junk")
-    kind = F.when(F.col("kind") == "prose", named).otherwise(F.col("kind"))
-    return t.where("kind is not null and prose_share < 0.5").select("file_id", kind.alias("kind")).distinct()
+    return t.where("kind <> 'prose' and prose_share <= 0.5").select("file_id", "kind").distinct()
