@@ -1,9 +1,9 @@
 """Filling fixed-capacity containers (problem 8): optimal length buckets and token-budget batches.
 
 Token counts are made once, by a public tokenizer. For each capacity, dynamic programming over the global histogram of piece
-lengths chooses the bucket boundaries that minimise padding. Batches then form inside each bucket up to the token budget, and
-what a batch leaves free takes the largest pieces of smaller buckets that fit. Batches form inside hash parts of bounded size, so no task
-ever holds an unbounded group; only items beyond the capacity are split.
+lengths chooses the bucket boundaries that minimise padding. A batch forms inside one bucket: as many of its pieces as the bucket's bound
+says fit the token budget. What the batch leaves free is topped up with the largest pieces of smaller buckets that fit. Batches form
+inside hash parts of bounded size, so no task ever holds an unbounded group; only items beyond the capacity are split.
 """
 
 from __future__ import annotations
@@ -95,27 +95,41 @@ def length_buckets(lengths: np.ndarray, counts: np.ndarray, most: int = 16) -> l
     return sorted(set(bounds))
 
 
-def fill(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Container number of each piece.
+def fill(lengths: np.ndarray, bounds: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Container number of each piece, and the bucket whose batch the container holds.
 
-    A container opens with the largest piece left and takes the largest that fits, as long as one fits. Pieces of its own bucket
-    are larger than those of the buckets below, so it is a token-budget batch of one bucket, topped up from smaller ones.
+    Buckets are emptied from the longest pieces to the shortest. A batch takes ``capacity // bound`` pieces of its bucket, the longest first, which
+    fit whatever their lengths; then the largest piece that still fits comes next, of smaller buckets before its own, until none fits.
     """
-    out = np.full(len(lengths), -1, np.int64)
+    container, batch = np.full(len(lengths), -1, np.int64), np.full(len(lengths), -1, np.int64)
+    bucket = np.searchsorted(bounds, lengths)
     free: dict[int, list[int]] = {}
     for i in np.argsort(lengths, kind="stable")[::-1]:
         free.setdefault(int(lengths[i]), []).append(int(i))
     left, number = sorted(free), 0
-    while left:
-        room = capacity
-        while (at := bisect_right(left, room) - 1) >= 0:
-            n = left[at]
-            out[free[n].pop()] = number
-            if not free[n]:
-                del left[at]
-            room -= n
-        number += 1
-    return out
+
+    def take(at: int, home: int) -> int:
+        n = left[at]
+        i = free[n].pop()
+        container[i], batch[i] = number, home
+        if not free[n]:
+            del left[at]
+        return n
+
+    for home in np.unique(bucket)[::-1]:
+        bound = int(bounds[home])
+        floor = int(bounds[home - 1]) if home else -1
+        each = max(1, capacity // bound) if bound else len(lengths)
+        while left and left[-1] > floor:
+            room = capacity
+            for _ in range(each):
+                if not left or left[-1] <= floor:
+                    break
+                room -= take(len(left) - 1, home)
+            while (at := bisect_right(left, min(room, floor)) - 1) >= 0 or (at := bisect_right(left, room) - 1) >= 0:
+                room -= take(at, home)
+            number += 1
+    return container, batch
 
 
 def _packer(sid: int, cap: int, bounds: list[int]):
@@ -123,8 +137,9 @@ def _packer(sid: int, cap: int, bounds: list[int]):
         t = t.sort_by([("doc_id", "ascending"), ("piece", "ascending")])
         n = t["tokens"].to_numpy()
         part, m = t["part"][0].as_py(), t.num_rows
+        container, batch = fill(n, bounds, cap)
         return pa.table(
-            {"spec_id": pa.array([sid] * m, pa.int32()), "capacity_tokens": pa.array([cap] * m, pa.int32()), "container_id": pa.array([f"{sid}-{part}-{c}" for c in fill(n, cap)], pa.string()), "bucket": pa.array(np.searchsorted(bounds, n), pa.int32()),
+            {"spec_id": pa.array([sid] * m, pa.int32()), "capacity_tokens": pa.array([cap] * m, pa.int32()), "container_id": pa.array([f"{sid}-{part}-{c}" for c in container], pa.string()), "batch_bucket": pa.array(batch, pa.int32()), "bucket": pa.array(np.searchsorted(bounds, n), pa.int32()), "bound": pa.array(np.array(bounds, np.int64)[np.searchsorted(bounds, n)]),
              "doc_id": t["doc_id"], "piece": t["piece"].cast(pa.int32()), "pieces": t["pieces"].cast(pa.int32()), "first_token": t["first_token"], "tokens": t["tokens"]}
         )
 
@@ -132,8 +147,10 @@ def _packer(sid: int, cap: int, bounds: list[int]):
 
 
 def fill_containers(docs: DataFrame, spec: DataFrame, buckets: int = 16, tokenizer: str = TOKENIZER, part_rows: int = PART_ROWS) -> DataFrame:
-    """``(spec_id, capacity_tokens, container_id, bucket, doc_id, piece, pieces, first_token, tokens)``.
+    """``(spec_id, capacity_tokens, container_id, batch_bucket, bucket, bound, doc_id, piece, pieces, first_token, tokens)``.
 
+    ``bucket`` and its ``bound`` are those of the piece, ``batch_bucket`` is the bucket whose batch the container holds; a piece of another bucket
+    tops the batch up. Padding of a batch against its bounds is the sum of ``bound - tokens``.
     Every document with an id is assigned for every spec with a positive capacity; one beyond the capacity is split into full pieces and a
     rest, any other stays whole. Null and empty texts are one piece of 0 tokens. Repeated documents are placed once each time they
     occur; null specs are ignored. The specs are few by definition (one row a capacity) and handled one after the other.
@@ -143,7 +160,7 @@ def fill_containers(docs: DataFrame, spec: DataFrame, buckets: int = 16, tokeniz
     rows = counted.count()
     parts = max(1, -(-rows // part_rows))
     out = None
-    schema = "spec_id int, capacity_tokens int, container_id string, bucket int, doc_id bigint, piece int, pieces int, first_token bigint, tokens bigint"
+    schema = "spec_id int, capacity_tokens int, container_id string, batch_bucket int, bucket int, bound bigint, doc_id bigint, piece int, pieces int, first_token bigint, tokens bigint"
     for r in spec.where("capacity_tokens > 0").select("spec_id", "capacity_tokens").distinct().orderBy("spec_id", "capacity_tokens").toLocalIterator():
         sid, cap = r["spec_id"], r["capacity_tokens"]
         cut = counted.withColumn("pieces", F.greatest(F.lit(1), F.ceil(F.col("tokens") / cap)).cast("int"))
@@ -159,4 +176,10 @@ def fill_containers(docs: DataFrame, spec: DataFrame, buckets: int = 16, tokeniz
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-__all__ = ["fill", "fill_containers", "length_buckets", "token_counts"]
+def container_report(placed: DataFrame) -> DataFrame:
+    """One row a capacity: pieces, containers, tokens, mean ``fill`` and ``padding`` (tokens missing to the buckets' bounds over the tokens)."""
+    one = placed.groupBy("spec_id", "capacity_tokens", "container_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.sum(F.col("bound") - F.col("tokens")).alias("p"))
+    return one.groupBy("spec_id", "capacity_tokens").agg(F.sum("n").alias("pieces"), F.count(F.lit(1)).alias("containers"), F.sum("t").alias("tokens"), (F.avg("t") / F.max("capacity_tokens")).alias("fill"), (F.sum("p") / F.sum("t")).alias("padding"))
+
+
+__all__ = ["container_report", "fill", "fill_containers", "length_buckets", "token_counts"]
