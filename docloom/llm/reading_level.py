@@ -218,6 +218,21 @@ def document_features(docs: DataFrame, doc_id: str = "doc_id", text_col: str = "
     return texts.mapInArrow(run, "doc_id bigint, words int, sentences int, " + ", ".join(f"{n} double" for n in names[2:]))
 
 
+def held_out_agreement(docs: DataFrame, labels: DataFrame, share: int = 4, most_labels: int = 20_000) -> DataFrame:
+    """How well the level meets grades it was not fitted on; one row.
+
+    The grades of one document in ``share`` (by hash of its id) are held out. ``error`` is the mean absolute difference of level and grade,
+    ``error_of_mean`` that of the mean grade of the others, ``within_one`` the share of differences of at most one.
+    """
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0
+    known = labels.where("doc_id is not null and grade is not null").select("doc_id", F.col("grade").cast("double").alias("grade")).distinct()
+    levels = reading_levels(docs, known.where(~held).select("doc_id", F.col("grade").cast("int").alias("grade")), most_labels).select("doc_id", "level")
+    mean = known.where(~held).agg(F.avg("grade").alias("m"))
+    rows = known.where(held).join(levels.where("level is not null"), "doc_id").withColumn("m", mean.scalar())
+    off = F.abs(F.col("level") - F.col("grade"))
+    return rows.agg(F.count(F.lit(1)).alias("held_out"), F.avg(off).alias("error"), F.avg(F.abs(F.col("m") - F.col("grade"))).alias("error_of_mean"), F.avg((off <= 1).cast("double")).alias("within_one"))
+
+
 def reading_levels(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> DataFrame:
     """Every document with its features and ``level``, the expected grade (null without a word).
 

@@ -205,6 +205,15 @@ def test_layout_copies_of_a_hot_text(spark):
     assert len(rows) == 3000 and {(r["first"], r["copies"]) for r in rows if r["id"] % 3 == 0} == {(3, 1000)}
 
 
+def test_layout_copies_in_parts(spark):
+    """More rows than one filter serves: records and texts meet in the same part, whatever their layout."""
+    record = lambda i: f"part: LT-{i % 40}\nqty: {i % 40}" if i % 2 else f"QTY = {i % 40} | part = lt-{i % 40}"
+    rows = [(i, record(i) if i % 3 == 0 else f"Some  Words {i % 70}" if i % 3 == 1 else f"single row {i}") for i in range(1, 601)]
+    d = spark.createDataFrame(rows, "file_id bigint, normalized_text string")
+    whole = {tuple(r) for r in layout_copies(d).collect()}
+    assert len(whole) == 600 and {tuple(r) for r in layout_copies(d, most_bits=1 << 11).collect()} == whole
+
+
 @pytest.mark.parametrize("part", [0.15, 0.3, 0.5])
 def test_batch_fragments_of_longer_history_texts(spark, part):
     from datetime import datetime as dt
