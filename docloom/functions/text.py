@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from .paths import strip
 
 #: fixed values: markers of navigation pages
 BOILERPLATE = ("previous", "next", "navigation", "table of contents", "show source")
+#: fixed values: endings of a file's stem that don't tell families apart
+STEM_NUMBER = r"(?:[_\-\s]|\()\d{1,3}\)?$"
+STEM_MARKS = r"(?:[\s_\-]copy|[\s_\-]final|[\s_\-]signed|[\s_\-]scan(?:ned)?|[\s_\-]ocr)+$"
 #: fixed values: lines that only page through a document, lower-cased
 PAGE_LINE = r"^(?:page \d+ of \d+|page \d+|\d+/\d+|\d+|printed on .+|generated on .+|created on .+)$"
 REPEATED_LINES, REPEATED_LENGTH = 3, 120
@@ -135,8 +140,7 @@ def similarity(a: Column, b: Column) -> Column:
 def stem_key(stem: Column) -> Column:
     """Loose family key of a file stem; the lower-cased stem where nothing is left."""
     s = F.replace(F.lower(stem), F.lit("&"), F.lit(" and "))
-    s = F.regexp_replace(s, r"(?:[_\-\s]|\()\d{1,3}\)?$", "")
-    s = F.regexp_replace(s, r"(?:[\s_\-]copy|[\s_\-]final|[\s_\-]signed|[\s_\-]scan(?:ned)?|[\s_\-]ocr)+$", "")
+    s = F.regexp_replace(F.regexp_replace(s, STEM_NUMBER, ""), STEM_MARKS, "")
     key = F.array_join(F.regexp_extract_all(s, F.lit(r"[a-z0-9]+"), F.lit(0)), " ")
     return F.when(key == "", F.lower(stem)).otherwise(key)
 
@@ -190,8 +194,12 @@ def enriched(preamble: Column, text: Column, least: int = 10) -> Column:
 
 
 def rewrite(c: Column, rules: list[tuple[str, str]]) -> Column:
-    """Ordered case-insensitive regular-expression replacements."""
+    """Ordered case-insensitive regular-expression replacements; a pattern that is no expression is taken literally."""
     for pattern, to in rules:
+        try:
+            re.compile(pattern)
+        except re.error:
+            pattern, to = f"\\Q{pattern}\\E", to.replace("\\", "\\\\").replace("$", "\\$")
         c = F.regexp_replace(c, f"(?i){pattern}", to)
     return c
 

@@ -217,3 +217,15 @@ def review_families(decisions: DataFrame) -> DataFrame:
     )
     g = g.withColumn("flags", flags)
     return g.select("canonical_path", "members", "duplicates", "max_similarity", "min_similarity", F.when(F.size("flags") > 0, "review_canonical_choice").otherwise("keep_canonical_choice").alias("recommendation"), F.when(F.size("flags") > 0, F.array_join("flags", ",")).otherwise("low_risk_family").alias("flags"))
+
+
+#: sort modes of the review: largest families, lowest similarity, or path
+SORTS = {"largest": [F.desc, "members"], "similarity": [F.asc_nulls_last, "min_similarity"], "path": [F.asc, "canonical_path"]}
+
+
+def sorted_families(families: DataFrame, mode: str = "largest", limit: int = 25) -> DataFrame:
+    """The first ``limit`` (at least one) review families by a sort mode; ties by path."""
+    if mode not in SORTS:
+        raise ValueError(f"sort mode is one of {', '.join(SORTS)}")
+    way, col = SORTS[mode]
+    return families.orderBy(way(col), F.lower("canonical_path"), "canonical_path").limit(max(1, limit))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
@@ -50,6 +51,81 @@ def metadata_columns(path: Column, text: Column, quality: Column) -> dict[str, C
     }
 
 
+#: fixed values: what names a field of the logistics block in a text, by field; the value follows
+LABELLED = {
+    "log_clin": r"(?i)\bCLIN\b\s*[:#-]?\s*([A-Z0-9-]{2,})",
+    "log_purchase_order": r"(?i)\b(?:PO|Purchase\s*Order)\s*#?\s*[:#-]?\s*([A-Z0-9-]*\d[A-Z0-9-]*)",
+    "log_model_number": r"(?i)\bModel\s*(?:Number|No\.?|#)?\s*[:#-]?\s*([A-Z0-9._-]*\d[A-Z0-9._-]*)",
+    "log_vendor": r"(?i)\b(?:vendor|supplier)\s*[:=]\s*([^\n;|]+)",
+    "log_oem": r"(?i)\b(?:oem|manufacturer)\s*[:=]\s*([^\n;|]+)",
+    "log_nomenclature": r"(?i)\b(?:nomenclature|description|item)\s*[:=]\s*([^\n;|]+)",
+    "log_qty": r"(?i)\b(?:qty|quantity)\s*[:=]\s*(\d+)",
+    "log_acquisition_contract_code": r"(?i)\bcontract\s*(?:code|no\.?|number)?\s*[:=]\s*([^\n;|]+)",
+    "log_acquisition_cost": r"(?i)\b(?:cost|price)\s*[:=]\s*\$?\s*(\d[\d,]*(?:\.\d+)?)",
+    "log_acquisition_date": r"(?i)\b(?:acquired|received|acquisition date)\s*[:=]\s*([^\n;|]+)",
+    "log_revision": r"(?i)\brev(?:ision)?(?:\.\s*|\s*[:=]\s*|\s+)([A-Z0-9]{1,3})(?:[\s,.;:)]|$)",
+    "log_remarks": r"(?i)\b(?:remarks?|notes?)\s*[:=]\s*([^\n;|]+)",
+    "cyber_system_scope": r"(?i)\bsystem\s*[:=]\s*([^\n;|]+)",
+    "cyber_site_scope": r"(?i)\bsite\s*[:=]\s*([^\n;|]+)",
+    "cyber_finding_id": r"\b(V-\d{4,6}|CVE-\d{4}-\d{4,}|CCI-\d{4,6})\b",
+}
+#: fixed values: kinds of security reports and states of findings, in order of precedence
+CYBER_FAMILIES = ["acas", "nessus", "stig", "rmf", "poam", "iavm", "cci", "waiver"]
+CYBER_STATES = [("exception", r"(?i)\b(?:exception|accepted\s+risk)\b"), ("mitigated", r"(?i)\bmitigated\b"), ("closed", r"(?i)\bclosed\b"), ("open", r"(?i)\bopen\b")]
+#: fixed values: signals of authority in path or text
+SIGNALS = [("restricted_path", "path", r"restricted"), ("deliverables_path", "path", r"/deliverables?/"), ("cdrl", "text", r"(?i)\bcdrl\b"), ("dd250", "text", r"(?i)\bdd\s*250\b"), ("deliverable", "text", r"(?i)\bdeliverables?\b"), ("accession_list", "text", r"(?i)\bdata\s+accession\s+list\b")]
+IDENTIFIER = r"\b[A-Z]{2}-\d{2,6}\b"
+DAY = r"\b(\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b"
+
+
+def contract_columns(path: Column, text: Column, quality: Column, doc_hash: Column) -> dict[str, Column]:
+    """All metadata fields of the export contract; a field that nothing states is null, a list without entries empty."""
+    p, t = F.lower(P.norm_path(path)), F.coalesce(text, F.lit(""))
+    found = lambda rx: F.nullif(P.strip(F.regexp_extract(t, rx, 1)), F.lit(""))
+    out = metadata_columns(path, text, quality)
+    cyber = F.rlike(F.lower(t), F.lit(r"\b(?:acas|nessus|stig|rmf|poa&?m|iavm|cci|waiver|finding)\b"))
+    family = F.lit("other")
+    for name in reversed(CYBER_FAMILIES):
+        family = F.when(F.rlike(F.lower(t), F.lit(r"\bpoa&?m\b" if name == "poam" else rf"\b{name}\b")), name).otherwise(family)
+    state = F.lit("unknown")
+    for name, rx in reversed(CYBER_STATES):
+        state = F.when(F.rlike(t, F.lit(rx)), name).otherwise(state)
+    signals = F.array_compact(F.array(*(F.when(F.rlike(p if where == "path" else t, F.lit(rx)), F.lit(name)) for name, where, rx in SIGNALS)))
+    day = F.to_date(F.nullif(F.regexp_extract(t, DAY, 1), F.lit("")), "d MMMM yyyy")
+    stated = F.coalesce(F.nullif(F.regexp_extract(t, r"\b(\d{4}-\d{2}-\d{2})\b", 1), F.lit("")), F.date_format(day, "yyyy-MM-dd"))
+    return out | {
+        "source_doc_hash": doc_hash,
+        "authority_signals": signals,
+        "doc_date": stated,
+        "site_token": F.nullif(F.regexp_extract(p, r"/intake/([a-z0-9]+)", 1), F.lit("")),
+        "program_token": F.nullif(F.regexp_extract(p, r"/intake/[a-z0-9]+_([a-z0-9]+)", 1), F.lit("")),
+        "identifier_tokens": F.array_sort(F.array_distinct(F.regexp_extract_all(t, F.lit(IDENTIFIER), F.lit(0)))),
+        **{name: found(rx) for name, rx in LABELLED.items()},
+        "cyber_report_family": F.when(cyber, family),
+        "cyber_scan_date": F.when(cyber, stated),
+        "cyber_status": F.when(cyber, state),
+        "cyber_waiver_flag": F.rlike(F.lower(t), F.lit(r"\bwaiver\b")),
+    }
+
+
+def mixed_pool(ranked: DataFrame, keys: list[str], size: int, archive_share: float = 0.2, visual_share: float = 0.15, authority_share: float = 0.4) -> DataFrame:
+    """The rerank pool of each query: ``ranked`` (keys, prior, authority_tier, is_archive_derived, is_visual_heavy, id) cut to ``size`` under mix caps.
+
+    Places for the best authority tier at hand are reserved, archive and visual candidates only fill their share; the rest follows by prior, ties
+    by id. Each limit is a rank within its class, so a query's candidates are ranked three times and never collected.
+    """
+    tiers = F.when(F.col("authority_tier") == "dm_restricted", 3).when(F.col("authority_tier") == "customer_deliverable", 2).when(F.col("authority_tier") == "operational_working", 1).otherwise(0)
+    order = (F.desc("prior"), F.asc("id"))
+    by = lambda *more: W.partitionBy(*keys, *more).orderBy(*order)
+    rows = ranked.withColumn("_tier", tiers)
+    rows = rows.withColumn("_top", F.col("_tier") == F.max("_tier").over(W.partitionBy(*keys)))
+    rows = rows.withColumns({"_a": F.row_number().over(by("is_archive_derived")), "_v": F.row_number().over(by("is_visual_heavy")), "_t": F.row_number().over(by("_top"))})
+    fits = (~F.col("is_archive_derived") | (F.col("_a") <= int(archive_share * size))) & (~F.col("is_visual_heavy") | (F.col("_v") <= int(visual_share * size)))
+    kept = rows.where(fits).withColumn("_first", F.col("_top") & (F.col("_t") <= -int(-authority_share * size // 1)))
+    final = W.partitionBy(*keys).orderBy(F.desc("_first"), *order)
+    return kept.withColumn("place", F.row_number().over(final)).where(F.col("place") <= size).drop("_tier", "_top", "_a", "_v", "_t", "_first")
+
+
 def with_metadata(chunks: DataFrame, path: str = "source_path", text: str = "text", quality: str = "parse_quality") -> DataFrame:
     return chunks.withColumns(metadata_columns(F.col(path), F.col(text), F.col(quality)))
 

@@ -88,6 +88,76 @@ def embed(chunks: DataFrame, embedder: Callable[[], Embedder], key: str = "chunk
     return chunks.select(key, text).mapInArrow(run, f"{key} {kind}, vector array<float>")
 
 
+def embed_query(text: str, embedder: Callable[[], Embedder], prefix: str = "") -> np.ndarray:
+    """float32 vector of one query text, with the query prefix; unit length unless it has no words."""
+    v = np.asarray(embedder()([prefix + (text or "")]), np.float32)[0]
+    n = float(np.linalg.norm(v))
+    return v / n if n > 0 else v
+
+
+class Backends:
+    """Embedder that takes the first of several back ends that starts, and moves on to the next one if that fails on a batch.
+
+    Each back end is a callable that makes an embedder. Vectors are brought to unit length.
+    """
+
+    def __init__(self, *makers: Callable[[], Embedder]) -> None:
+        self.makers, self.now, self.tried = makers, None, []
+        self._next()
+
+    def _next(self) -> None:
+        while len(self.tried) < len(self.makers):
+            maker = self.makers[len(self.tried)]
+            self.tried.append(maker)
+            try:
+                self.now = maker()
+            except Exception:  # noqa: BLE001, S112 - a back end that doesn't start leaves it to the next
+                continue
+            self.dim = self.now.dim
+            return
+        raise RuntimeError("no back end for embeddings starts")
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        while True:
+            try:
+                v = np.asarray(self.now(texts), np.float32)
+                break
+            except MemoryError:
+                raise
+            except Exception:  # noqa: BLE001 - a failing back end is left for the next one
+                self._next()
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        return v / np.where(n > 0, n, 1)
+
+
+def as_float16(vectors: DataFrame, col: str = "vector") -> DataFrame:
+    """Vectors rounded to what float16 holds, the precision of the exported file."""
+    at = vectors.columns.index(col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = b.column(at)
+            flat = v.values.slice(v.offsets[0].as_py(), v.offsets[-1].as_py() - v.offsets[0].as_py()).to_numpy(zero_copy_only=False).astype(np.float16).astype(np.float32)
+            offsets = pa.array(np.asarray(v.offsets) - v.offsets[0].as_py(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(flat)) if i == at else b.column(i) for i in range(b.num_columns)], b.schema.names)
+
+    return vectors.mapInArrow(run, vectors.schema)
+
+
+def model_ready(wanted: str, listed: Callable[[], list[str]]) -> tuple[bool, str]:
+    """Whether a model service answers and holds the model: equal name, else a name that begins with it, else the same base name before the colon."""
+    try:
+        names = listed()
+    except Exception as e:  # noqa: BLE001 - whatever the service's client raises, it doesn't answer
+        return False, f"no answer: {type(e).__name__}"
+    base = wanted.split(":")[0]
+    for test in (lambda n: n == wanted, lambda n: n.startswith(wanted), lambda n: n.split(":")[0] == base):
+        hit = sorted(n for n in names if test(n))
+        if hit:
+            return True, hit[0]
+    return False, "model missing"
+
+
 def enrich(chunks: DataFrame, docs: DataFrame, enricher: Enricher = lead_sentence, doc_key: str = "doc_id", key: str = "chunk_id", text: str = "text", least: int = 10) -> DataFrame:
     """``key, enriched_text``: preamble and text; null where the model fails or says too little. Documents join by key, never broadcast."""
     ship_package(chunks.sparkSession)

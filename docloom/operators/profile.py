@@ -97,9 +97,10 @@ def folder_signatures(t: DataFrame, least_files: int = 3) -> DataFrame:
     return g.select(F.concat_ws("-", F.col("descendants").cast("string"), F.col("a").cast("string"), F.col("b").cast("string")).alias("signature"), "folders", "descendants", "sample")
 
 
-def recommendations(t: DataFrame) -> DataFrame:
-    """Advice lines from the profile's totals."""
+def recommendations(t: DataFrame, least_files: int = 3) -> DataFrame:
+    """Advice lines from the profile's totals and from folders of the same content (with at least ``least_files`` files)."""
     s = signals(F.col("name"), F.col("ext"), F.col("rel"))
     a = t.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.exists(s, lambda x: x.isin(*SIDECAR_SIGNALS))).alias("side"), F.count_if(F.array_contains(s, "encrypted_pdf_name")).alias("enc"), F.count_if(F.array_contains(s, "image_asset")).alias("img"))
-    lines = F.array_compact(F.array(F.when(F.col("side") > 0, "skip_ocr_sidecars"), F.when(F.col("enc") > 0, "review_encrypted_pdfs"), F.when(F.col("img") > 0.2 * F.col("n"), "separate_image_assets")))
+    a = a.withColumn("twins", folder_signatures(t, least_files).agg(F.count(F.lit(1)).alias("n")).scalar())
+    lines = F.array_compact(F.array(F.when(F.col("side") > 0, "skip_ocr_sidecars"), F.when(F.col("enc") > 0, "review_encrypted_pdfs"), F.when(F.col("twins") > 0, "audit_duplicate_folders"), F.when(F.col("img") > 0.2 * F.col("n"), "separate_image_assets")))
     return a.select(F.explode(F.when(F.size(lines) > 0, lines).otherwise(F.array(F.lit("no_action")))).alias("recommendation"))

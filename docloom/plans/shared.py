@@ -44,8 +44,8 @@ def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder, in folders by column ``by`` if given, and read it back: cuts the lineage, survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docloom-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._docloom_path = path
     return out

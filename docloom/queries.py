@@ -179,8 +179,10 @@ def folder_signatures(spark, sf):
 
 
 @query(
-    f"""WITH {TREE}, a AS (SELECT count(*) AS n, count(*) FILTER (WHERE len(list_filter(s, lambda x: starts_with(x, 'ocr_sidecar'))) > 0) AS side, count(*) FILTER (WHERE list_contains(s, 'encrypted_pdf_name')) AS enc, count(*) FILTER (WHERE list_contains(s, 'image_asset')) AS img FROM (SELECT {SIG} AS s FROM t)),
-    r AS (SELECT unnest(list_filter([CASE WHEN side > 0 THEN 'skip_ocr_sidecars' END, CASE WHEN enc > 0 THEN 'review_encrypted_pdfs' END, CASE WHEN img > 0.2 * n THEN 'separate_image_assets' END], lambda x: x IS NOT NULL)) AS recommendation FROM a)
+    f"""WITH {TREE}, z AS (SELECT rel, size, ext, string_split({q_norm('path')}, '/') AS p FROM t), y AS (SELECT size, ext, p, unnest(range(1, len(p))) AS k FROM z WHERE len(p) > 1),
+    g AS (SELECT array_to_string(p[1:k], '/') AS folder, string_agg(array_to_string(p[k + 1:], '/') || '|' || ext || '|' || size, chr(10) ORDER BY array_to_string(p[k + 1:], '/'), ext, size) AS lines FROM y GROUP BY 1 HAVING count(*) >= 3),
+    a AS (SELECT (SELECT count(*) FROM (SELECT lines FROM g GROUP BY 1 HAVING count(*) > 1)) AS twins, count(*) AS n, count(*) FILTER (WHERE len(list_filter(s, lambda x: starts_with(x, 'ocr_sidecar'))) > 0) AS side, count(*) FILTER (WHERE list_contains(s, 'encrypted_pdf_name')) AS enc, count(*) FILTER (WHERE list_contains(s, 'image_asset')) AS img FROM (SELECT {SIG} AS s FROM t)),
+    r AS (SELECT unnest(list_filter([CASE WHEN side > 0 THEN 'skip_ocr_sidecars' END, CASE WHEN enc > 0 THEN 'review_encrypted_pdfs' END, CASE WHEN twins > 0 THEN 'audit_duplicate_folders' END, CASE WHEN img > 0.2 * n THEN 'separate_image_assets' END], lambda x: x IS NOT NULL)) AS recommendation FROM a)
     SELECT recommendation FROM r UNION ALL SELECT 'no_action' WHERE NOT EXISTS (SELECT 1 FROM r)"""
 )
 def profile_recommendations(spark, sf):
@@ -933,4 +935,6 @@ def parsed_bytes(spark, sf):
     return parse_files(d.select(F.coalesce("source_path", F.lit("x.txt")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"), "doc_id")).select("doc_id", "file_ext", "parse_quality", F.length("text").alias("chars"))
 
 
+from . import queries_exports  # noqa: E402, F401 - registers its queries
+
 __all__ = ["Column", "V", "first_k", "oracle_sql", "queries"]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import paths as P
+from ..plans.shared import ship_package
 from ..plans.topk import with_ordinal
 
 
@@ -40,6 +44,9 @@ def scan(spark: SparkSession, root: str, exts: list[str] | None = None, content:
         d = d.where(P.ext(F.col("path")).isin(*exts))
     if max_files is not None:
         d = d.orderBy("path").limit(max_files)
+    if content:
+        # numbers are made from the narrow listing, so that the bytes are never sorted or written
+        return d.join(with_ordinal(d.select("path"), "path"), "path").select("ordinal", *d.columns)
     return with_ordinal(d, "path")
 
 
@@ -47,6 +54,58 @@ def with_hash(files: DataFrame) -> DataFrame:
     return files.withColumn("hash", F.sha2("content", 256))
 
 
+def open_file(path: str):
+    """Binary stream of a file by its path or URI: local files, and whatever file systems pyarrow knows."""
+    if "://" not in path and not path.startswith("file:"):
+        return open(path, "rb")
+    from urllib.parse import unquote, urlparse
+
+    if path.startswith("file:"):
+        return open(unquote(urlparse(path).path), "rb")
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(inner)
+
+
+def spread_files(files: DataFrame, bytes_a_task: int = 64 << 20, least: int | None = None) -> DataFrame:
+    """``files`` (path, size, ...) over as many tasks as their bytes ask for; only the narrow rows move."""
+    spark = files.sparkSession
+    total = files.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    tasks = max(least or spark.sparkContext.defaultParallelism, (total["b"] or 0) // bytes_a_task + 1)
+    return files.repartition(int(min(tasks, max(1, total["n"]))), F.xxhash64("path"))
+
+
+def read_facts(files: DataFrame, head: int = 4096) -> DataFrame:
+    """All columns of ``files`` with ``hash`` (SHA-256 of the bytes) and ``header`` (their first ``head``).
+
+    The bytes are streamed within the task that needs them and never become a column. A file that can't be read has null in both.
+    """
+    ship_package(files.sparkSession)
+    keep = files.columns
+    at = keep.index("path")
+
+    def one(path: str | None) -> tuple[str | None, bytes | None]:
+        try:
+            digest = hashlib.sha256()
+            with open_file(path) as f:
+                first = f.read(head)
+                part = first
+                while part:
+                    digest.update(part)
+                    part = f.read(1 << 20)
+            return digest.hexdigest(), first
+        except (OSError, TypeError, ValueError):
+            return None, None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [one(x) for x in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], [*keep, "hash", "header"])
+
+    return spread_files(files).mapInArrow(run, T.StructType([*files.schema.fields, T.StructField("hash", T.StringType()), T.StructField("header", T.BinaryType())]))
+
+
 def input_list(spark: SparkSession, path: str, listing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Listed files that exist, in order and once without letter case, and counts of the missing by extension."""
     lines = spark.read.text(path).select(F.trim("value").alias("value")).where((F.col("value") != "") & ~F.startswith("value", F.lit("#")))

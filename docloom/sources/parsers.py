@@ -421,4 +421,35 @@ def parse_files(files: DataFrame, path: str = "path", content: str = "content",
     return files.select(*keep, content).mapInArrow(run, schema)
 
 
+def parse_paths(files: DataFrame, path: str = "path", setup: Callable[[], None] | None = None) -> DataFrame:
+    """As :func:`parse_files`, but each task opens the files of its rows itself; a file that can't be read has the reason ``unreadable``."""
+    from .files import open_file
+
+    ship_package(files.sparkSession)
+    keep = files.columns
+    schema = files.select(*keep).schema.add("text", "string").add("parse_quality", "double").add("file_ext", "string").add("file_size", "long").add("empty_reason", "string")
+
+    def one(name: str | None) -> tuple[str, float, str, int, str | None]:
+        try:
+            with open_file(name) as f:
+                data = f.read()
+        except (OSError, TypeError, ValueError):
+            return "", 0.0, suffix(name or ""), 0, "unreadable"
+        text, quality, reason = parse(name, data)
+        return text, quality, suffix(name), len(data), reason
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if setup is not None:
+            setup()
+        at = keep.index(path)
+        for b in batches:
+            for i in range(0, b.num_rows, 64):  # texts leave the task a few files at a time
+                part = b.slice(i, 64)
+                rows = [one(n) for n in part.column(at).to_pylist()]
+                cols = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.string(), pa.int64(), pa.string()))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *cols], [*keep, "text", "parse_quality", "file_ext", "file_size", "empty_reason"])
+
+    return files.mapInArrow(run, schema)
+
+
 from . import formats  # noqa: E402, F401 - registers the parsers of binary formats

@@ -3,6 +3,7 @@ import gzip
 import io
 import json
 import tarfile
+import time
 import zipfile
 
 import numpy as np
@@ -10,7 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom import config
-from docloom.plans.pipeline import build, run
+from docloom.operators import contract, models
+from docloom.plans.checkpoint import Checkpoint
+from docloom.plans.pipeline import Plugins, build, dedup_only, run
 from docloom.sources import files, parsers, sinks
 from docloom.streaming.nightly import nightly, windowed_counts
 
@@ -38,7 +41,7 @@ def test_parsers(name, content, text, quality):
 
 
 def test_reasons():
-    assert [parsers.parse(n, b"x")[2] for n in ("a.pdf", "a.zip", "a.nope", "a.txt")] == ["library_missing", "parse_error", "unknown_format", None]
+    assert [parsers.parse(n, b"x")[2] for n in ("a.evtx", "a.zip", "a.nope", "a.txt")] == ["library_missing", "parse_error", "unknown_format", None]
     assert parsers.parse("a.txt", None)[2] == "empty"
 
 
@@ -111,7 +114,54 @@ def test_pipeline_end_to_end(spark, tree, tmp_path):
     v = spark.read.format("npy").option("path", str(folder / "vectors.npy")).option("rowsPerPartition", "1").load()
     assert v.count() == len(chunks) and len(v.first()["vector"]) == 16
     state = stages.decisions.join(files.scan(spark, str(tree)).select("ordinal", "mtime", "size"), "ordinal").select("path", "hash", "mtime", "size", F.lit("indexed").alias("status"))
-    assert build(spark, cfg, files.scan(spark, str(tree), content=True), state).chunks.count() == 0
+    assert build(spark, cfg, files.scan(spark, str(tree)), state).chunks.count() == 0
+
+
+def test_scan_with_contents_keeps_the_order(spark, tree):
+    rows = files.scan(spark, str(tree), content=True).orderBy("ordinal").collect()
+    assert [r["path"] for r in rows] == sorted(r["path"] for r in rows) and [r["ordinal"] for r in rows] == list(range(1, 7))
+    assert all(len(r["content"]) == r["size"] for r in rows)
+
+
+def test_facts_are_those_of_the_bytes(spark, tree):
+    import hashlib
+
+    s = files.scan(spark, str(tree)).select("ordinal", "path", "size", "mtime")
+    for r in files.read_facts(s.unionByName(spark.createDataFrame([(99, "/none", 5, 0.0)], s.schema))).collect():
+        data = b"" if r["path"] == "/none" else files.open_file(r["path"]).read()
+        assert (r["hash"], r["header"]) == ((None, None) if r["path"] == "/none" else (hashlib.sha256(data).hexdigest(), data[:4096]))
+
+
+def test_pipeline_with_all_plugins(spark, tree, tmp_path):
+    cfg = config.from_dict({"source": str(tree), "output": str(tmp_path / "out"), "embed": {"dim": 8}})
+    cp = Checkpoint(spark, f"file://{tmp_path}/cp", config.signature(cfg))
+
+    def broken_backend():
+        raise RuntimeError("no device")
+
+    found = lambda texts: [[{"text": "PN-1234", "label": "PART", "score": 0.9, "start": 0, "end": 7}] if "PN-1234" in t else [] for t in texts]
+    plug = lambda **k: Plugins(embedder=lambda: models.Backends(broken_backend, lambda: models.HashEmbedder(4)), enricher=models.lead_sentence, extractor=found, checkpoint=cp, metadata=True, **k)
+    stages, folder = run(spark, cfg, plugins=plug(should_stop=lambda: True))
+    assert stages.stopped and json.loads((folder / "manifest.json").read_text())["chunk_count"] == 0
+    time.sleep(1.1)
+    first = build(spark, cfg, files.scan(spark, str(tree)), plugins=plug())
+    n = first.chunks.count()
+    assert n > 2 and first.chunks.where("enriched_text is not null").count() == n and first.vectors.first()["vector"].__len__() == 4
+    assert set(contract.CHUNK_FIELDS + contract.METADATA_FIELDS) <= set(first.chunks.columns)
+    # the second run parses nothing and takes the chunks over from the checkpoint
+    stages, folder = run(spark, cfg, plugins=plug())
+    assert stages.parsed.count() == 0 and stages.chunks.count() == n and np.load(folder / "vectors.npy").shape == (n, 4)
+    assert stages.entities.where("label = 'PART' and source_path is not null").count() > 0
+    assert cp.done().count() == 0
+    m = json.loads((folder / "skip_manifest.json").read_text())
+    assert m["count"] == m["total_skipped"] == len(m["skipped_files"]) and m["deferred_formats"] == [{"extension": "dwf", "count": 1, "reason": "Design Web Format"}]
+    assert "Skipped" in (folder / "run_report.txt").read_text()
+
+
+def test_dedup_only_with_copy(spark, tree, tmp_path):
+    rows, copied = dedup_only(spark, str(tree), spark.createDataFrame([], "path string, hash string, mtime double, size bigint, status string"), str(tmp_path / "copy"))
+    assert {r["path"].rsplit("/", 1)[-1]: r["status"] for r in rows.collect()}["report_1.txt"] == "duplicate"
+    assert {r["rel"]: r["status"] for r in copied.collect()} == {x: "copied" for x in ("report.txt", "data.csv", "drawing.dwf", "~$temp.txt", "empty.txt")}
 
 
 def test_scan_lists_and_lines(spark, tree, tmp_path):
