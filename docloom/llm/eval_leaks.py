@@ -20,7 +20,8 @@ from .alignment import banded_distance
 from .hashing import _BASE, _BASE_INV, LOWER, U, _powers, blocks, mix, plain
 
 TABLE_BITS = 22
-BLOCK_ITEMS = 20_000
+#: a block of items holds at most so many, and at most so many characters (about 48 MB of postings and streams); a longer item is a block by itself
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 1_000_000
 
 
 def word_stream(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +162,7 @@ def eval_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     """``(doc_id, item_id, words, edits)``: documents that hold ``min_words`` consecutive words of an item, up to ``edits`` edits.
 
     ``words`` is the longest exact run of the item's words; ``edits`` is 0 where that run reaches ``min_words``. The items are
-    the stated query set; they are taken in blocks of ``BLOCK_ITEMS``, each broadcast to all tasks, against all documents in one
+    the stated query set; they are taken in blocks of bounded number and size, each broadcast to all tasks, against all documents in one
     pass without a shuffle. Rows with null ids or texts, empty texts, and items below ``min_words`` words give nothing; repeated
     documents and items give one row each pair; other columns are ignored.
     """
@@ -195,11 +196,13 @@ def eval_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
 
         return texts.mapInArrow(run, schema)
 
+    size = 0
     for r in held.toLocalIterator():
-        block.append((r["item_id"], r["text"]))
-        if len(block) == BLOCK_ITEMS:
+        if block and (len(block) == BLOCK_ITEMS or size + len(r["text"]) > BLOCK_CHARS):
             out = scan(block) if out is None else out.unionByName(scan(block))
-            block = []
+            block, size = [], 0
+        block.append((r["item_id"], r["text"]))
+        size += len(r["text"])
     if block or out is None:
         out = scan(block) if out is None else out.unionByName(scan(block))
     return out.groupBy("doc_id", "item_id").agg(F.max("words").alias("words"), F.min("edits").alias("edits"))

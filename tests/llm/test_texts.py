@@ -304,6 +304,21 @@ def test_leaks(spark):
     assert eval_leaks(d.limit(0), e).count() == 0 and eval_leaks(d, e.limit(0)).count() == 0
 
 
+def test_leaks_of_items_in_several_blocks(spark, monkeypatch):
+    """Blocks bounded by their characters give the rows of one block."""
+    from docloom.llm import eval_leaks as E
+
+    rng = random.Random(16)
+    words = [f"q{i}r" for i in range(900)]
+    item = lambda: [rng.choice(words) for _ in range(30)]
+    items = [item() for _ in range(9)]
+    d = spark.createDataFrame([(k, " ".join(item() + x[4:24] + item())) for k, x in enumerate(items)], "doc_id bigint, text string")
+    e = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id bigint, text string")
+    whole = {tuple(r) for r in E.eval_leaks(d, e).collect()}
+    monkeypatch.setattr(E, "BLOCK_CHARS", 300)
+    assert len(whole) == 9 and {tuple(r) for r in E.eval_leaks(d, e).collect()} == whole
+
+
 EASY = "The dog ran home. It was cold. We saw the big red van on the hill. He has a hat. " * 4
 HARD = "Notwithstanding the quantitative classification of the asynchronous environment, the subordinate characterization undermines an exceptional accountability whose redundancy articulates, under conditional dependency (approx. 5 hours), the approximation of every inconsistent jurisdiction and institutional requirement. " * 3
 
