@@ -45,6 +45,28 @@ def oracle_sql() -> dict[str, str]:
 WHITE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+# The lists that the SQL states itself, so that a wrong list of an operator shows as a difference.
+Q_IMAGES = "('.jpg', '.jpeg', '.png', '.gif', '.bmp', '.webp', '.tif', '.tiff', '.svg', '.wmf', '.emf')"
+Q_ARCHIVES = "('.zip', '.7z', '.rar', '.tar', '.tgz', '.gz', '.bz2', '.xz')"
+Q_DRAWINGS = "('.drawio', '.dia', '.dxf', '.dwg', '.vsdx', '.svg', '.stp', '.step', '.ste', '.igs', '.iges', '.stl')"
+Q_STOP_TOKENS = "('and', 'for', 'the', 'with', 'from', 'that', 'this', 'into', 'scan', 'copy', 'draft', 'final', 'file', 'page', 'img')"
+Q_BOILERPLATE = ("previous", "next", "navigation", "table of contents", "show source")
+Q_PAGE_LINE = r"^(page \d+ of \d+|page \d+|\d+/\d+|\d+|printed on .+|generated on .+|created on .+)$"
+Q_FAMILIES = {
+    "travel_admin": ("itinerary", "travel approval", "receipts", "packing list"), "inventory_manifest": ("inventory", "manifest"), "image_photo": ("photo", "image", "picture"), "logs": ("desktop_log", "desktop log", "/logs/"),
+    "archive_derived": ("/archive/", "specialfiles"), "drawing_diagram": ("drawing", "diagram"), "calibration_cert": ("calibration", "certificate", "cert of", "certification"),
+}
+Q_SPECIAL_DIRS = "('packing list', 'site inventory', 'pictures', 'photos', 'itinerary', 'archive', 'receipts', 'drawings', 'images')"
+Q_DOMAINS = [("logistics", "packing|supply|inventory|manifest|receipt|purchase|shipment"), ("cybersecurity", "cyber|scan|vulnerab|firewall"), ("site_visit", "site visit|site_visit|travel|itinerary"), ("engineering", "drawing|calibration|test report|test_report|power"), ("program", "program|contract|quality"), ("sysadmin", "log|radio|network")]
+Q_PICTURES = "('.jpg', '.jpeg', '.png', '.gif', '.bmp', '.tif', '.tiff', '.webp')"
+Q_PLANS = "('.dwg', '.dxf', '.dwf', '.vsdx', '.drawio')"
+Q_VISUAL = "('.jpg', '.jpeg', '.png', '.gif', '.bmp', '.tif', '.tiff', '.webp', '.dwg', '.dxf', '.dwf', '.vsdx', '.drawio')"
+Q_ENTITIES = [
+    ("PART_NUMBER", r"\b(PN|QX|TM|LT)-\d{2,6}\b"), ("WORK_ORDER", r"\bWO-\d{2,6}\b"), ("SERIAL_NUMBER", r"\bSN-\d{2,6}\b"), ("DATE", r"\b\d{1,2} (January|February|March|April|May|June|July|August|September|October|November|December) \d{4}\b"),
+    ("MEASURE", r"\b\d+(\.\d+)? (psi|mm|kg|volts|ohms|hours|degrees|newton meters)\b"), ("EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"),
+]
+
+
 def q_strip(c: str) -> str:
     return f"regexp_replace({c}, '^{WHITE}+|{WHITE}+$', '', 'g')"
 
@@ -82,9 +104,9 @@ SIG = "list_filter([" + ", ".join(
     f"CASE WHEN {c} THEN '{n}' END"
     for c, n in [
         ("ends_with(lower(name), '_djvu.txt')", "ocr_sidecar_djvu_txt"), ("ends_with(lower(name), '_djvu.xml')", "ocr_sidecar_djvu_xml"), ("ends_with(lower(name), '_hocr.html')", "ocr_sidecar_hocr_html"),
-        (f"contains(lower(name), 'spectrogram') AND ext IN {q_list(profile.IMAGES)}", "spectrogram_image"), ("contains(lower(name), 'encrypted') AND ext = '.pdf'", "encrypted_pdf_name"),
-        (f"contains(lower(name), 'scan') AND ext IN {q_list(profile.IMAGES)}", "scan_named_image"), ("contains(rel, '.thumbs/')", "thumbnail_cache_asset"),
-        (f"ext IN {q_list(profile.ARCHIVES)}", "archive_container"), (f"ext IN {q_list(profile.DRAWINGS)}", "drawing_or_diagram_asset"), (f"ext IN {q_list(profile.IMAGES)}", "image_asset"),
+        (f"contains(lower(name), 'spectrogram') AND ext IN {Q_IMAGES}", "spectrogram_image"), ("contains(lower(name), 'encrypted') AND ext = '.pdf'", "encrypted_pdf_name"),
+        (f"contains(lower(name), 'scan') AND ext IN {Q_IMAGES}", "scan_named_image"), ("contains(rel, '.thumbs/')", "thumbnail_cache_asset"),
+        (f"ext IN {Q_ARCHIVES}", "archive_container"), (f"ext IN {Q_DRAWINGS}", "drawing_or_diagram_asset"), (f"ext IN {Q_IMAGES}", "image_asset"),
     ]
 ) + "], lambda x: x IS NOT NULL)"
 
@@ -138,13 +160,13 @@ def folder_ext_rollup(spark, sf):
     return profile.folder_rollup(_tree(spark, sf))
 
 
-_SH = lambda xs: f"round(sum(CASE WHEN ext IN {q_list(xs)} THEN n ELSE 0 END) / sum(n), 3)"
+_SH = lambda xs: f"round(sum(CASE WHEN ext IN {xs} THEN n ELSE 0 END) / sum(n), 3)"
 
 
 @query(
     f"""WITH {TREE}, e AS (SELECT top_level, ext, count(*) AS n, count(*) FILTER (WHERE ends_with(lower(name), '_djvu.txt') OR ends_with(lower(name), '_djvu.xml') OR ends_with(lower(name), '_hocr.html')) AS side FROM t GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY top_level ORDER BY n DESC, ext) AS k FROM e)
-    SELECT top_level, sum(n)::BIGINT AS files, string_agg(CASE WHEN k <= 5 THEN ext || '=' || n END, ',' ORDER BY k) AS dominant, {_SH(profile.IMAGES)} AS image_ratio, {_SH(profile.DRAWINGS)} AS drawing_ratio, {_SH(profile.ARCHIVES)} AS archive_ratio, sum(side)::BIGINT AS ocr_sidecars FROM r GROUP BY 1"""
+    SELECT top_level, sum(n)::BIGINT AS files, string_agg(CASE WHEN k <= 5 THEN ext || '=' || n END, ',' ORDER BY k) AS dominant, {_SH(Q_IMAGES)} AS image_ratio, {_SH(Q_DRAWINGS)} AS drawing_ratio, {_SH(Q_ARCHIVES)} AS archive_ratio, sum(side)::BIGINT AS ocr_sidecars FROM r GROUP BY 1"""
 )
 def folder_profile(spark, sf):
     return profile.folder_profile(_tree(spark, sf))
@@ -155,7 +177,7 @@ def signal_counts(spark, sf):
     return profile.signal_counts(_tree(spark, sf))
 
 
-@query(f"WITH {TREE} SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower({q_stem('path')}), '[a-z]{{3,}}')) AS token FROM t) WHERE token NOT IN {q_list(profile.STOP_TOKENS)} GROUP BY 1")
+@query(f"WITH {TREE} SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower({q_stem('path')}), '[a-z]{{3,}}')) AS token FROM t) WHERE token NOT IN {Q_STOP_TOKENS} GROUP BY 1")
 def filename_tokens(spark, sf):
     return profile.name_tokens(_tree(spark, sf))
 
@@ -386,7 +408,7 @@ def q_alpha_share(c: str) -> str:
     return rf"(length(regexp_replace({c}, '[^\p{{L}}]', '', 'g'))::DOUBLE / nullif(length({c}), 0))"
 
 
-_HITS = " + ".join(f"contains(lower(sample), '{m}')::INT" for m in T.BOILERPLATE)
+_HITS = " + ".join(f"contains(lower(sample), '{m}')::INT" for m in Q_BOILERPLATE)
 
 
 @query(
@@ -426,7 +448,7 @@ def previews(spark, sf):
 
 
 _NT = r"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '([\p{L}\p{N}_])-\n([\p{L}\p{N}_])', '\1\2', 'g'), '[ \t]+', ' ', 'g')"
-_NL = f"list_filter(list_transform(string_split({_NT}, chr(10)), lambda x: lower({q_strip('x')})), lambda x: x <> '' AND NOT regexp_matches(x, '{T.PAGE_LINE}'))"
+_NL = f"list_filter(list_transform(string_split({_NT}, chr(10)), lambda x: lower({q_strip('x')})), lambda x: x <> '' AND NOT regexp_matches(x, '{Q_PAGE_LINE}'))"
 
 
 @query(
@@ -645,7 +667,7 @@ def dedup_reason_counts(spark, sf):
 
 # --- export analytics -------------------------------------------------------------------------------------------------------------
 
-_FAM = "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(p, '{w}')" for w in ws) + f" THEN '{n}' END" for n, ws in artifacts.FAMILIES.items()) + "], lambda x: x IS NOT NULL)"
+_FAM = "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(p, '{w}')" for w in ws) + f" THEN '{n}' END" for n, ws in Q_FAMILIES.items()) + "], lambda x: x IS NOT NULL)"
 
 
 @query(
@@ -656,12 +678,12 @@ def family_paths(spark, sf):
     return artifacts.family_counts(_t(spark, sf, "documents").where("source_path is not null").select("source_path", F.lit(1).cast("bigint").alias("chunks")))
 
 
-@query(f"SELECT directory, count(*) AS hits FROM (SELECT unnest(list_transform(string_split({q_parent('source_path')}, '/'), lambda x: lower(x))) AS directory FROM parsed_document) WHERE directory IN {q_list(artifacts.SPECIAL_DIRS)} GROUP BY 1")
+@query(f"SELECT directory, count(*) AS hits FROM (SELECT unnest(list_transform(string_split({q_parent('source_path')}, '/'), lambda x: lower(x))) AS directory FROM parsed_document) WHERE directory IN {Q_SPECIAL_DIRS} GROUP BY 1")
 def special_dirs(spark, sf):
     return artifacts.special_dirs(_t(spark, sf, "parsed_document"))
 
 
-@query(f"SELECT file_id, {q_ext('source_path')} IN {q_list(profile.IMAGES)} AS image, {q_ext('source_path')} IN {q_list(profile.ARCHIVES)} AS archive, {q_ext('source_path')} IN {q_list(profile.DRAWINGS)} AS drawing FROM parsed_document")
+@query(f"SELECT file_id, {q_ext('source_path')} IN {Q_IMAGES} AS image, {q_ext('source_path')} IN {Q_ARCHIVES} AS archive, {q_ext('source_path')} IN {Q_DRAWINGS} AS drawing FROM parsed_document")
 def path_flags(spark, sf):
     e = P.ext(F.col("source_path"))
     return _t(spark, sf, "parsed_document").select("file_id", e.isin(*profile.IMAGES).alias("image"), e.isin(*profile.ARCHIVES).alias("archive"), e.isin(*profile.DRAWINGS).alias("drawing"))
@@ -739,7 +761,7 @@ def vector_cosine_topk(spark, sf):
     return cosine_topk(v.where("vec_id % 100 = 0"), v, 5).select("query_id", "vec_id", "score")
 
 
-_ENT = " UNION ALL ".join(rf"SELECT doc_id, '{label}' AS label, unnest(regexp_extract_all(text, '{rx}')) AS entity FROM documents WHERE length(text) >= 20" for label, rx in metadata.ENTITY_PATTERNS)
+_ENT = " UNION ALL ".join(rf"SELECT doc_id, '{label}' AS label, unnest(regexp_extract_all(text, '{rx}')) AS entity FROM documents WHERE length(text) >= 20" for label, rx in Q_ENTITIES)
 
 
 @query(f"SELECT doc_id, label, entity, count(*) AS mentions FROM ({_ENT}) GROUP BY 1, 2, 3")
@@ -748,12 +770,12 @@ def entity_regex(spark, sf):
 
 
 _P = f"lower({q_norm('source_path')})"
-_DOM = "CASE " + " ".join(f"WHEN regexp_matches({_P}, '{rx}') THEN '{n}'" for n, rx in metadata.DOMAINS) + " ELSE 'unknown' END"
+_DOM = "CASE " + " ".join(f"WHEN regexp_matches({_P}, '{rx}') THEN '{n}'" for n, rx in Q_DOMAINS) + " ELSE 'unknown' END"
 _ARC = f"regexp_matches({_P}, '/archive/|\\.zip|_archive/')"
 META = f"""m AS (SELECT doc_id, {q_ext('source_path')} AS source_ext, {_DOM} AS business_domain, {_ARC} AS is_archive_derived, CASE WHEN {_ARC} AND regexp_matches({_P}, '\\.zip') THEN 'archive_bundle_member' WHEN {_ARC} THEN 'archive_original' ELSE 'primary' END AS archive_class, (len(string_split({_P}, 'archive')) - 1)::INT AS archive_depth,
  CASE WHEN regexp_matches({_P}, 'restricted') THEN 'dm_restricted' WHEN regexp_matches({_P}, 'deliverable|final|signed|contract') THEN 'customer_deliverable' WHEN {_ARC} THEN 'archive_copy' WHEN {_DOM} <> 'unknown' THEN 'operational_working' ELSE 'unknown' END AS authority_tier,
- CASE WHEN {q_ext('source_path')} IN {q_list(metadata.DRAWING_EXT)} THEN 'cad' WHEN contains({_P}, 'scan') AND {q_ext('source_path')} IN {q_list(metadata.IMAGE_EXT)} THEN 'scan' WHEN {q_ext('source_path')} IN {q_list(metadata.IMAGE_EXT)} THEN 'photo' WHEN regexp_matches({_P}, 'drawing|diagram') THEN 'drawing' ELSE 'none' END AS visual_family,
- {q_ext('source_path')} IN {q_list(metadata.IMAGE_EXT + metadata.DRAWING_EXT)} AS is_visual_heavy, (length(regexp_replace({_TX}, '[^|\\t]', '', 'g')) >= 10 OR contains({_TX}, '[SHEET]')) AS table_heavy, len(list_distinct(regexp_extract_all({_TX}, '\\b[A-Z]{{2}}-\\d{{2,6}}\\b')))::INT AS identifier_count, parse_quality,
+ CASE WHEN {q_ext('source_path')} IN {Q_PLANS} THEN 'cad' WHEN contains({_P}, 'scan') AND {q_ext('source_path')} IN {Q_PICTURES} THEN 'scan' WHEN {q_ext('source_path')} IN {Q_PICTURES} THEN 'photo' WHEN regexp_matches({_P}, 'drawing|diagram') THEN 'drawing' ELSE 'none' END AS visual_family,
+ {q_ext('source_path')} IN {Q_VISUAL} AS is_visual_heavy, (length(regexp_replace({_TX}, '[^|\\t]', '', 'g')) >= 10 OR contains({_TX}, '[SHEET]')) AS table_heavy, len(list_distinct(regexp_extract_all({_TX}, '\\b[A-Z]{{2}}-\\d{{2,6}}\\b')))::INT AS identifier_count, parse_quality,
  nullif(regexp_extract({_TX}, '\\b(PN-\\d{{2,6}})\\b', 1), '') AS log_part_number, nullif(lower(regexp_extract({_TX}, '(?i)\\b(low|medium|high|critical) severity', 1)), '') AS cyber_severity FROM documents)"""
 META_OUT = ["source_ext", "business_domain", "is_archive_derived", "archive_class", "archive_depth", "authority_tier", "visual_family", "is_visual_heavy", "table_heavy", "identifier_count", "log_part_number", "cyber_severity"]
 
