@@ -12,7 +12,7 @@ def bytes_text(n: Column) -> Column:
     """``1.5 GB``, ``3.0 KB`` or ``17 B``; null stays null."""
     out = F.when(n.isNotNull(), F.concat(n.cast("bigint").cast("string"), F.lit(" B")))
     for size, unit in reversed(_UNITS):
-        out = F.when(n >= size, F.concat(F.format_string("%.1f", n / F.lit(float(size))), F.lit(f" {unit}"))).otherwise(out)
+        out = F.when(n >= size, F.concat(F.format_string("%.1f", F.bround(n / F.lit(float(size)), 1)), F.lit(f" {unit}"))).otherwise(out)
     return out
 
 

@@ -42,6 +42,17 @@ class HashEmbedder:
         return out / np.where(n > 0, n, 1)
 
 
+class LetterEmbedder:
+    """A stand-in whose vectors can be stated in SQL: counts of the letters a to z, unit length."""
+
+    dim = 26
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        out = np.array([[(t or "").lower().count(chr(97 + k)) for k in range(self.dim)] for t in texts], np.float32).reshape(len(texts), self.dim)
+        n = np.linalg.norm(out, axis=1, keepdims=True)
+        return out / np.where(n > 0, n, 1)
+
+
 def lead_sentence(contexts: list[str], texts: list[str]) -> list[str | None]:
     """Deterministic stand-in for a language model: the context's first sentence."""
     return [(c or "").split(". ")[0][:150] or None for c in contexts]

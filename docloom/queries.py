@@ -493,18 +493,22 @@ def event_log_lines(spark, sf):
     return e.select("event_id", T.event_line(x).alias("line"))
 
 
-_WIN = """CASE WHEN n <= 1000 THEN doc WHEN pos < 0 THEN substring(doc, 1, 600) ELSE
+_WIN = """CASE WHEN n <= 56000 THEN doc WHEN pos < 0 THEN substring(doc, 1, 20000) ELSE
   (CASE WHEN s > 0 THEN '... ' ELSE '' END) || substring(doc, s + 1, e - s) || (CASE WHEN e < n THEN ' ...' ELSE '' END) END"""
 
 
 @query(
-    f"""WITH b AS (SELECT doc_id, text AS doc, substring(text, 701, 80) AS piece FROM documents WHERE length(text) > 700), x AS (SELECT *, length(doc) AS n, length(piece) AS m, instr(doc, substring(piece, 1, 200)) - 1 AS pos FROM b),
-    y AS (SELECT *, greatest(0, pos - 300) AS s0, least(n, pos + m + 300) AS e0 FROM x), z AS (SELECT *, CASE WHEN s0 = 0 THEN least(n, 600) ELSE e0 END AS e, CASE WHEN s0 <> 0 AND e0 = n THEN greatest(0, n - 600) ELSE s0 END AS s FROM y)
-    SELECT doc_id, {_WIN} AS context FROM z"""
+    f"""WITH b AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN repeat('- ', 20000) || text || repeat(' +', 20000) WHEN 1 THEN text ELSE text || repeat(' +', 40000) END AS doc, substring(text, 1, 1200) AS piece FROM documents WHERE text <> ''), x AS (SELECT *, length(doc) AS n, length(piece) AS m, instr(doc, substring(piece, 1, 200)) - 1 AS pos FROM b),
+    y AS (SELECT *, greatest(0, pos - 10000) AS s0, least(n, pos + m + 10000) AS e0 FROM x), z AS (SELECT *, CASE WHEN s0 = 0 THEN least(n, 20000) ELSE e0 END AS e, CASE WHEN s0 <> 0 AND e0 = n THEN greatest(0, n - 20000) ELSE s0 END AS s FROM y),
+    c AS (SELECT doc_id, {_WIN} AS context FROM z) SELECT doc_id, length(context) AS chars, sha256(context) AS context_hash FROM c"""
 )
 def context_windows(spark, sf):
-    d = _t(spark, sf, "documents").where(F.length("text") > 700)
-    return d.select("doc_id", T.context_window(F.col("text"), F.substring("text", 701, 80), 1000, 600).alias("context"))
+    """Windows of 20,000 characters around the beginning of each text, set into longer documents or left alone."""
+    t = F.col("text")
+    pad = lambda x: F.repeat(F.lit(x), F.lit(20_000))
+    doc = F.when(F.col("doc_id") % 3 == 0, F.concat(pad("- "), t, pad(" +"))).when(F.col("doc_id") % 3 == 1, t).otherwise(F.concat(t, pad(" +"), pad(" +")))
+    d = _t(spark, sf, "documents").where("text <> ''").select("doc_id", T.context_window(doc, F.substring(t, 1, 1200)).alias("context"))
+    return d.select("doc_id", F.length("context").alias("chars"), F.sha2("context", 256).alias("context_hash"))
 
 
 @query("SELECT doc_id, CASE WHEN length(source) > 10 THEN source || chr(10) || chr(10) || text END AS enriched_text, greatest(1, length(coalesce(text, '')) // 4)::INT AS tokens FROM documents")
@@ -547,11 +551,13 @@ def placeholder_cards(spark, sf):
     return d.select("doc_id", F.concat_ws("\n", F.concat(F.lit("File: "), P.basename(p)), F.concat(F.lit("Type: "), P.ext(p)), F.concat(F.lit("Size: "), F.col("n_chars").cast("string"))).alias("card"), F.lit(0.15).alias("parse_quality"))
 
 
-@query("SELECT user_id, string_agg(event_type || ':' || event_id, chr(10) ORDER BY ts, event_id) AS body, count(*) AS messages FROM events GROUP BY 1")
+@query("WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) SELECT user_id, string_agg(event_type || ':' || event_id, chr(10) ORDER BY ts, event_id) FILTER (WHERE k <= 200) AS body, count(*) AS messages FROM r GROUP BY 1")
 def mbox_assembly(spark, sf):
-    """Messages of one box in order; a box is one user's events."""
-    m = F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type")))
-    return _t(spark, sf, "events").groupBy("user_id").agg(F.array_join(F.transform(m, lambda x: F.concat(x["event_type"], F.lit(":"), x["event_id"].cast("string"))), "\n").alias("body"), F.count(F.lit(1)).alias("messages"))
+    """The first 200 messages of each box in order, as the mail parser reads them, and the number of all; a box is one user's events."""
+    e = _t(spark, sf, "events").select("user_id", F.struct("ts", "event_id", "event_type").alias("m"))
+    body = first_k(e, ["user_id"], "m", 200).groupBy("user_id").agg(F.array_sort(F.collect_list("m")).alias("m"))
+    total = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("messages"))
+    return total.join(body, "user_id").select("user_id", F.array_join(F.transform("m", lambda x: F.concat(x["event_type"], F.lit(":"), x["event_id"].cast("string"))), "\n").alias("body"), "messages")
 
 
 # --- chunking ---------------------------------------------------------------------------------------------------------------------
@@ -895,10 +901,10 @@ def duplicates_with_canonical(spark, sf):
 _RUN = "list_filter(list_transform(regexp_extract_all(text, '[\\t\\n\\r -~]{8,}'), lambda x: " + q_strip("x") + "), lambda x: length(x) > 8 AND length(regexp_replace(x, '[^A-Za-z\\s]', '', 'g')) * 2 > length(x))"
 
 
-@query(f"SELECT file_id, array_to_string({_RUN}, chr(10)) AS text FROM parsed_document WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7f]*$')")
+@query(f"SELECT file_id, array_to_string({_RUN}, chr(10)) AS text FROM parsed_document WHERE text IS NOT NULL")
 def byte_runs(spark, sf):
     """Printable runs of the texts' bytes."""
-    d = _t(spark, sf, "parsed_document").where(F.col("text").isNotNull() & F.rlike("text", F.lit(r"^[\x00-\x7f]*$")))
+    d = _t(spark, sf, "parsed_document").where("text is not null")
     return d.select("file_id", T.byte_runs(F.encode("text", "UTF-8")).alias("text"))
 
 
@@ -922,12 +928,29 @@ def copies_with_first(spark, sf):
     return f.join(first, "normalized_hash").where("file_id > first").select("first", "file_id", F.round(T.containment(F.col("fu"), F.col("u")), 4).alias("line_similarity"))
 
 
-@query()
+@query(
+    """WITH RECURSIVE o AS (SELECT doc_id, (doc_id % 4)::INT AS part, greatest(1, length(coalesce(text, '')) // 4) AS t, row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) AS k FROM documents),
+    r AS (SELECT doc_id, part, k, 0 AS batch, 49152 - t AS room, 1 AS rows FROM o WHERE k = 1 UNION ALL
+      SELECT o.doc_id, o.part, o.k, CASE WHEN x THEN batch + 1 ELSE batch END, CASE WHEN x THEN 49152 ELSE room END - t, CASE WHEN x THEN 1 ELSE rows + 1 END FROM (SELECT r.*, r.rows >= 256 OR (r.rows >= 8 AND r.room < n.t) AS x FROM r JOIN o n ON n.part = r.part AND n.k = r.k + 1) r JOIN o ON o.part = r.part AND o.k = r.k + 1)
+    SELECT doc_id, part, batch FROM r"""
+)
 def token_batches(spark, sf):
-    """Token-budget batches inside hash parts, in order of doc_id; tested against brute force."""
+    """Token-budget batches in order of doc_id, inside four parts."""
     from .operators.batches import assign_batches
 
-    return assign_batches(_t(spark, sf, "documents").select("doc_id", "text"))
+    return assign_batches(_t(spark, sf, "documents").select("doc_id", "text"), part=F.col("doc_id") % 4)
+
+
+@query(
+    """WITH l AS (SELECT doc_id, list_transform(range(97, 123), lambda k: length(coalesce(text, '')) - length(replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(k::INT), ''))) AS v FROM documents)
+    SELECT doc_id, round(CASE WHEN list_sum(v) > 0 THEN v[5] / sqrt(list_sum(list_transform(v, lambda x: x * x))::DOUBLE) ELSE 0 END, 3) AS e, round(CASE WHEN list_sum(v) > 0 THEN v[20] / sqrt(list_sum(list_transform(v, lambda x: x * x))::DOUBLE) ELSE 0 END, 3) AS t FROM l"""
+)
+def letter_vectors(spark, sf):
+    """Two components of each document's unit vector of letter counts, by the embedding operator."""
+    from .operators import models
+
+    v = models.embed(_t(spark, sf, "documents").select("doc_id", F.translate("text", "\u212a\u0130", "..").alias("text")), models.LetterEmbedder, "doc_id")
+    return v.select("doc_id", F.round(F.get("vector", F.lit(4)).cast("double"), 3).alias("e"), F.round(F.get("vector", F.lit(19)).cast("double"), 3).alias("t"))
 
 
 @query()
@@ -939,24 +962,18 @@ def embedded_chunks(spark, sf):
     return models.embed(c.select("chunk_id", F.col("chunk_text").alias("text")), models.HashEmbedder)
 
 
-@query()
+@query(
+    f"""WITH {CHUNKS}, said AS (SELECT doc_id || '-' || chunk_index AS chunk_id, chunk_text, substring(split_part(CASE WHEN length(d.text) <= 56000 OR instr(d.text, substring(chunk_text, 1, 200)) <= 10001 THEN d.text ELSE '... ' || substring(d.text, instr(d.text, substring(chunk_text, 1, 200)) - 10000) END, '. ', 1), 1, 150) AS p FROM chunks JOIN documents d USING (doc_id))
+    SELECT chunk_id, CASE WHEN length(p) > 10 THEN p || chr(10) || chr(10) || chunk_text END AS enriched_text FROM said"""
+)
 def enriched_chunks(spark, sf):
-    """Chunks enriched by the deterministic stand-in model."""
+    """Chunks enriched by the deterministic stand-in model: the context's first sentence."""
     from .operators import models
 
     c = _chunks(spark, sf).withColumn("chunk_id", F.concat_ws("-", "doc_id", "chunk_index"))
     return models.enrich(c.select("chunk_id", "doc_id", F.col("chunk_text").alias("text")), _t(spark, sf, "documents"))
 
 
-@query()
-def parsed_bytes(spark, sf):
-    """The parser registry over the documents' texts as bytes."""
-    from .sources.parsers import parse_files
-
-    d = _t(spark, sf, "documents")
-    return parse_files(d.select(F.coalesce("source_path", F.lit("x.txt")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"), "doc_id")).select("doc_id", "file_ext", "parse_quality", F.length("text").alias("chars"))
-
-
 from . import queries_exports  # noqa: E402, F401 - registers its queries
 
 __all__ = ["Column", "V", "first_k", "oracle_sql", "queries"]
