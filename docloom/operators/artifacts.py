@@ -65,3 +65,11 @@ def failure_headers(log: DataFrame) -> DataFrame:
     """``### .ext (N files)`` headers as ``ext, files``."""
     rx = r"^###\s+\.?(\S+)\s+\((\d+) files?\)"
     return log.select(F.lower(F.regexp_extract("value", rx, 1)).alias("ext"), F.regexp_extract("value", rx, 2).alias("n")).where("ext <> ''").select("ext", F.col("n").cast("bigint").alias("files"))
+
+
+def failure_causes(logs: DataFrame, value: str = "value") -> DataFrame:
+    """``ext, files, cause`` of the sections of whole failure logs: a header ``### .ext (N files)`` and the ``Likely cause:`` line below it, if any."""
+    sections = logs.select(F.explode(F.split(F.regexp_replace(value, r"\r\n?", "\n"), r"\n(?=### )")).alias("s"))
+    e = lambda rx: F.regexp_extract("s", rx, 1)
+    head = sections.select(F.lower(e(r"^###\s+\.?(\S+)\s+\(\d+ files?\)")).alias("ext"), e(r"^###\s+\S+\s+\((\d+) files?\)").alias("n"), e(r"(?m)^Likely cause:[ \t]*(.*)$").alias("cause"))
+    return head.where("ext <> ''").select("ext", F.col("n").cast("bigint").alias("files"), F.nullif(F.trim("cause"), F.lit("")).alias("cause"))

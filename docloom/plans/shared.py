@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 HOT_SHARE = 1000
+#: paths of the tables of this application that are not discarded yet
+_MADE: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,6 +48,7 @@ def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
     path = f"{shared_dir(spark)}/docloom-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
+    _MADE.add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._docloom_path = path
     return out
@@ -54,14 +57,25 @@ def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
 def discard(df: DataFrame) -> None:
     """Delete a table of :func:`materialize` that nothing reads any more."""
     path = getattr(df, "_docloom_path", None)
-    if path is None:
-        return
-    if path.startswith("file://") or path.startswith("/"):
-        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> int:
+    """Delete every table that this application has materialized, once its results are written elsewhere; returns their number."""
+    paths = sorted(_MADE)
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _MADE.discard(path)
+    if path.startswith(("file:", "/")):
+        shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
         return
-    jvm = df.sparkSession._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def attach_group(rows: DataFrame, keys: list[str], aggs: dict[str, Column], n_rows: int) -> DataFrame:

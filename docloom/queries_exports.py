@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import display
 from .functions import paths as P
 from .functions import text as T
-from .operators import contract, exact_dedup, family_dedup, metadata, skip
+from .operators import artifacts, contract, exact_dedup, family_dedup, metadata, skip
 from .plans.shared import shared_dir, ship_package
 from .queries import LATEST_STATE, _t, q_base, q_ext, q_norm, q_strip, query
 from .sources import files as src
@@ -265,3 +265,12 @@ def rerank_pool(spark, sf):
 def relative_globs(spark, sf):
     """Shell patterns on the relative path or the basename."""
     return _t(spark, sf, "documents").where(P.matches_globs(F.coalesce("source_path", F.lit("")), ["*report*", "*.xls?"]) | F.rlike(F.lower(P.basename(F.coalesce("source_path", F.lit("")))), F.lit(r"\.xls$"))).select("doc_id")
+
+
+@query(f"SELECT lower(ltrim({q_ext('source_path')}, '.')) AS ext, n_chars AS files, CASE WHEN trim(coalesce(source, '')) <> '' AND doc_id % 5 <> 0 THEN trim(source) END AS cause, count(*) AS sections FROM documents WHERE {q_ext('source_path')} <> '' GROUP BY 1, 2, 3")
+def failure_causes(spark, sf):
+    """Sections of failure logs with their causes; each document gives one log of one section, those divisible by five without a cause."""
+    d = _t(spark, sf, "documents").where(P.ext(F.col("source_path")) != "")
+    cause = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("Likely cause: "), F.coalesce("source", F.lit("")), F.lit("\n"))).otherwise("")
+    log = F.concat(F.lit("# Failures\n\n### "), P.ext(F.col("source_path")), F.lit(" ("), F.col("n_chars").cast("string"), F.lit(" files)\r\n"), cause, F.lit("[ext] Empty parse: a name\n"))
+    return artifacts.failure_causes(d.select(log.alias("value"))).groupBy("ext", "files", "cause").agg(F.count(F.lit(1)).alias("sections"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from docloom.operators import audit, chunking, delta, exact_dedup, family_dedup, metadata, models, profile, search, skip
 from docloom.operators.batches import assign_batches
 from docloom.plans.components import connected_components
-from docloom.plans.shared import attach_group, materialize
+from docloom.plans.shared import attach_group, discard_all, materialize
 from docloom.plans.topk import first_k, with_ordinal
 
 FILES = "ordinal bigint, path string, hash string, mtime double, size bigint"
@@ -252,3 +252,7 @@ def test_plans(spark):
     assert all(r["ordinal"] == r["v"] for r in o.collect())
     assert {r["id"] for r in first_k(d.where("k = 'hot'"), ["k"], "id", 3).collect()} == {0, 3, 6}
     assert materialize(d).count() == 1000
+    kept = materialize(d)
+    assert discard_all(spark) > 0 and discard_all(spark) == 0
+    with pytest.raises(Exception, match="."):
+        kept.count()
