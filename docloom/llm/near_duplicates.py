@@ -340,10 +340,9 @@ def near_duplicate_groups(
     number = sk.count()
     members = materialize(attach_group(sk.select("id", "cls_a", "cls_b"), ["cls_a", "cls_b"], {"rep": F.min("id")}, number).select("id", "rep").distinct())
     reps = members.where("id = rep").select("id")
-    keyed = materialize(sk.select("id", "n", "sig", "keys").join(reps, "id").select("id", "n", "sig", F.explode("keys").alias("key")))
+    keyed = sk.select("id", "n", "sig", "keys").join(reps, "id").select("id", "n", "sig", F.explode("keys").alias("key"))
     order = (F.col("key"), F.col("sig"), F.xxhash64("id", "key"))
     pairs = materialize(keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "id", "n", "sig").mapInArrow(_neighbours(threshold), "a bigint, b bigint").distinct())
-    discard(keyed)
     words = sk.select("id", "words")
     first = verified(pairs, words.dropDuplicates(["id"]) if members.count() < number else words, threshold, band, bloom_bits)
     comps = connected_components(first, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("c"))
