@@ -57,6 +57,20 @@ _M = (1 << 64) - 1
 _ROMAN_VALUE = {"i": 1, "v": 5, "x": 10}
 
 
+#: characters that a line with a number at its end or at its start can end or start with
+LAST, FIRST = frozenset("0123456789ivxIVX-|–—])"), frozenset("0123456789ivxIVXpP-|–—[(")
+
+
+def numbered_forms(x: str) -> list[tuple[str, str, str]]:
+    """(end, text without its number, number) of a line that may carry the page's number at its end ("t") or start ("h")."""
+    out = []
+    if (x[-1:] in LAST or x[-1:].isdigit()) and (m := TAIL_NUMBER.match(x)) and len(m.group(1)) >= 6:
+        out.append(("t", m.group(1), m.group(2)))
+    if (x[:1] in FIRST or x[:1].isdigit()) and (m := HEAD_NUMBER.match(x)) and len(m.group(2)) >= 6:
+        out.append(("h", m.group(2), m.group(1)))
+    return out
+
+
 def page_value(n: str) -> int:
     if n.isdigit():
         return int(n)
@@ -95,11 +109,8 @@ def _chain(found: list[tuple[int, int]]) -> list[int]:
 
 def _bare_form(x: str) -> str:
     """A running line without the page's number at either end."""
-    for rx, body in ((TAIL_NUMBER, 1), (HEAD_NUMBER, 2)):
-        m = rx.match(x)
-        if m and len(m.group(body)) >= 6:
-            return m.group(body).lower()
-    return x.lower()
+    forms = numbered_forms(x)
+    return (forms[0][1] if forms else x).lower()
 
 
 def layout(lines: list[str]) -> dict[int, str]:
@@ -132,10 +143,8 @@ def layout(lines: list[str]) -> dict[int, str]:
         if i in out or i in maybe:
             continue
         forms.setdefault(x.lower(), []).append((i, None))
-        for rx, name, num, body in ((TAIL_NUMBER, "t", 2, 1), (HEAD_NUMBER, "h", 1, 2)):
-            m = rx.match(x)
-            if m and len(m.group(body)) >= 6:
-                forms.setdefault(name + "\x00" + re.sub(r"\s+", " ", m.group(body)).lower(), []).append((i, page_value(m.group(num))))
+        for name, body, number in numbered_forms(x):
+            forms.setdefault(name + "\x00" + re.sub(r"\s+", " ", body).lower(), []).append((i, page_value(number)))
     for form, found in forms.items():
         where = [i for i, _ in found]
         if len(found) < 2 or ("\x00" in form and not _rising([v for _, v in found])):
@@ -344,6 +353,9 @@ class Page:
             for t, token in enumerate(tokens):
                 if (i in second and t == 0) or (i in joined and t == len(tokens) - 1):
                     continue
+                if token.isalpha():
+                    row.append(token.lower())
+                    continue
                 for part in token.split("-"):
                     w = _core(part)[1].lower()
                     if w:
