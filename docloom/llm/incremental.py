@@ -99,7 +99,7 @@ class PrefixIndex:
 
     def _append(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.path}/{name}/{uuid.uuid4().hex}"
-        writer = rows.write
+        writer = rows.write.option("compression", "zstd")
         if "bucket" in rows.columns:
             writer = writer.partitionBy("bucket")
         writer.parquet(path)
