@@ -59,6 +59,9 @@ _STRIP = f"regexp_replace(text, '^{WHITE}+|{WHITE}+$', '', 'g')"
 
 P4_CHECKS = f"SELECT file_id, length({_STRIP}) AS chars, true AS from_start, true AS within_size, true AS exact_overlap FROM parsed_document JOIN run_config USING (run_id) WHERE {_STRIP} <> ''"
 
+# no document is near the limit, so words and signs tell the same documents as a tokenizer
+P8 = r"SELECT doc_id FROM documents WHERE len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]')) > 2048"
+
 P8_CHECKS = "SELECT DISTINCT spec_id, capacity_tokens, doc_id, true AS whole, true AS fits FROM documents, container_spec"
 
 P7_STATISTICS = rf"""WITH t AS (SELECT file_id, text, {_w('text').replace('lower(text)', 'text')} AS w, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^{WHITE}+|{WHITE}+$', '', 'g')), lambda x: x <> '') AS l FROM parsed_document WHERE {_STRIP} <> ''),
@@ -66,5 +69,5 @@ P7_STATISTICS = rf"""WITH t AS (SELECT file_id, text, {_w('text').replace('lower
 SELECT file_id, words, length(text) AS chars, round(coalesce(letters, 0)::DOUBLE / greatest(words, 1), 6) AS mean_word_length, round((visible - coalesce(letters, 0))::DOUBLE / greatest(visible, 1), 6) AS symbol_ratio,
  round(len(list_filter(l, lambda x: contains('.!?:;,"'')', right(x, 1))))::DOUBLE / len(l), 6) AS punctuated_lines, round(length(regexp_replace(text, '[^\p{{Nd}}²³¹]', '', 'g'))::DOUBLE / greatest(visible, 1), 6) AS digit_ratio FROM s"""
 
-SQL = {"p1_batches": P1, "p6_records": P6_RECORDS, "p4_checks": P4_CHECKS, "p8_checks": P8_CHECKS, "p7_statistics": P7_STATISTICS,
+SQL = {"p1_batches": P1, "p8_found": P8, "p6_records": P6_RECORDS, "p4_checks": P4_CHECKS, "p8_checks": P8_CHECKS, "p7_statistics": P7_STATISTICS,
        "p1_found": P1, "p2_found": P2, "p4_found": P4, "p5_found": P5, "p6_found": P6, "p9_found": P9}

@@ -1,8 +1,8 @@
 """Fixed-size tables merged over all partitions: hashed counts and Bloom bits.
 
 Their size is a parameter and doesn't follow the data, so the merged table may be broadcast. Each task folds all
-its input into one local table, emits it in slices, and the slices are merged on the executors; only the merged
-table, of bounded size, reaches the driver.
+its input into one local table, emits it in slices, and the slices are merged on the executors, at most ``FAN`` at a time,
+level by level; only the merged table, of bounded size, reaches the driver.
 """
 
 from __future__ import annotations
@@ -11,10 +11,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SLICES = 16
+#: tables merged by one task; more of them take more levels
+FAN = 64
 
 
 def merged_table(df: DataFrame, size: int, dtype: str, fold: Callable[[np.ndarray, pa.RecordBatch], None], how: str, tables: int = 1) -> np.ndarray:
@@ -54,9 +57,10 @@ def merged_parts(df: DataFrame, size: int, dtype: str, fold: Callable[[np.ndarra
                 fold(table, b)
         if some:
             shaped = table.reshape(tables, SLICES, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([pa.compress(np.ascontiguousarray(shaped[:, i]).tobytes(), codec="zstd", asbytes=True) for i in range(SLICES)], pa.binary())], ["slice", "cells"])
+            part = pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), part, pa.array([pa.compress(np.ascontiguousarray(shaped[:, i]).tobytes(), codec="zstd", asbytes=True) for i in range(SLICES)], pa.binary())], ["slice", "part", "cells"])
 
-    def merge(t: pa.Table) -> pa.Table:
+    def merged(t: pa.Table) -> np.ndarray:
         out = None
         for raw in t["cells"]:
             x = np.frombuffer(pa.decompress(raw.as_py(), step * np.dtype(dtype).itemsize, codec="zstd", asbytes=True), dtype).reshape(tables, -1)
@@ -69,10 +73,20 @@ def merged_parts(df: DataFrame, size: int, dtype: str, fold: Callable[[np.ndarra
                 out[0] |= x[0]
             else:
                 out |= x
-        return pa.table({"slice": pa.array([t["slice"][0].as_py()], pa.int32()), "cells": pa.array([out.tobytes()], pa.binary())})
+        return out
+
+    def level(t: pa.Table) -> pa.Table:
+        return pa.table({"slice": t["slice"][:1], "part": t["part"][:1], "cells": pa.array([pa.compress(np.ascontiguousarray(merged(t)).tobytes(), codec="zstd", asbytes=True)], pa.binary())})
+
+    def last(t: pa.Table) -> pa.Table:
+        return pa.table({"slice": t["slice"][:1], "cells": pa.array([merged(t).tobytes()], pa.binary())})
 
     tasks = 2 * max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return df.coalesce(tasks).mapInArrow(local, "slice int, cells binary").groupBy("slice").applyInArrow(merge, "slice int, cells binary")
+    parts = df.coalesce(tasks).mapInArrow(local, "slice int, part int, cells binary")
+    while tasks > FAN:
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("slice", "part").applyInArrow(level, "slice int, part int, cells binary")
+        tasks = -(-tasks // FAN)
+    return parts.groupBy("slice").applyInArrow(last, "slice int, cells binary")
 
 
 def spread(df: DataFrame, array: np.ndarray) -> Broadcast:

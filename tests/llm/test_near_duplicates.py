@@ -264,3 +264,34 @@ def test_two_batches_against_the_stored_index_read_no_history(spark, tmp_path):
     prints = [(i, f"n{i}", t) for i, t in (long | first | second).items()]
     tables = spark.createDataFrame(at_once, STATE), spark.createDataFrame(delta, DELTA), spark.createDataFrame(prints, PRINTS)
     assert found(match_batches(*tables)) == found(match_batches(*tables, cuts=(1,))) == one | two
+
+
+@pytest.mark.parametrize("how", ["sum", "or", "twice"])
+def test_tables_merge_in_levels(spark, monkeypatch, how):
+    """Merging two at a time, level by level, gives the table of one merge."""
+    from docloom.llm import sketches as S
+
+    d = spark.range(0, 3000, 1, 8).selectExpr("(id * 7919) % 1024 AS at")
+
+    def fold(table, b):
+        at = b.column(0).to_numpy()
+        if how == "sum":
+            S.add_counts(table, at)
+        elif how == "or":
+            S.set_bits(table, at)
+        else:
+            once, more = table[:128], table[128:]
+            for x in at:
+                if S.get_bits(once, np.array([x]))[0]:
+                    S.set_bits(more, np.array([x]))
+                S.set_bits(once, np.array([x]))
+
+    args = (1024, "uint8", fold, "sum", 1) if how == "sum" else (128, "uint8", fold, how, 2 if how == "twice" else 1)
+    one = S.merged_table(d, *args)
+    monkeypatch.setattr(S, "FAN", 2)
+    assert (S.merged_table(d, *args) == one).all()
+    want = np.bincount((np.arange(3000) * 7919) % 1024, minlength=1024)
+    if how == "sum":
+        assert one[0].tolist() == want.tolist()
+    else:
+        assert S.get_bits(one[-1], np.arange(1024)).tolist() == (want > (how == "twice")).tolist()
