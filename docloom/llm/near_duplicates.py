@@ -190,20 +190,31 @@ def _neighbours(threshold: float):
     return run
 
 
-def _payload(bits):
-    """The rows (id, words) whose id is in the Bloom bits, with the number of 5-grams and their marks."""
+def _chosen(b: pa.RecordBatch, table: np.ndarray) -> pa.RecordBatch:
+    """The rows (id, words) whose id is in the Bloom bits."""
+    return b.take(pa.array(np.flatnonzero(get_bits(table, _place(b.column(0).to_numpy(zero_copy_only=False), len(table) * 8)))))
+
+
+def _marks(bits):
+    """Number of 5-grams and their marks of the rows (id, words) whose id is in the Bloom bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
         for b in batches:
-            some = b.take(pa.array(np.flatnonzero(get_bits(table, _place(b.column(0).to_numpy(zero_copy_only=False), len(table) * 8)))))
+            some = _chosen(b, bits.value)
             for i, j, h, off in word_blocks(some.column(1)):
                 s, doc, _ = shingles(h, off, K)
                 marks = np.zeros((j - i, MARKS), bool)
                 marks[doc, (s % U(MARKS)).astype(np.int64)] = True
                 raw, grams = np.packbits(marks, axis=1), np.bincount(doc, minlength=j - i)
-                part = some.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(grams, pa.int32()), pa.array([r.tobytes() for r in raw], pa.binary())], ["id", "words", "grams", "marks"])
+                yield pa.RecordBatch.from_arrays([some.column(0).slice(i, j - i), pa.array(grams, pa.int32()), pa.array([r.tobytes() for r in raw], pa.binary())], ["id", "grams", "marks"])
+
+    return run
+
+
+def _words_of(bits):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _chosen(b, bits.value)
 
     return run
 
@@ -284,17 +295,22 @@ def bloom_of(ids: DataFrame, bits: int) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, words: DataFrame, threshold: float, band: int, bloom_bits: int) -> DataFrame:
-    """Links (a, b, similarity, edit_similarity) among candidate ``pairs`` (a, b) of texts ``words`` (id, words), one row an id."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    bits = spread(pairs, bloom_of(ids, bloom_bits))
-    words = materialize(words.select("id", "words").mapInArrow(_payload(bits), "id bigint, words binary, grams int, marks binary"))
-    marks = lambda c: words.select(F.col("id").alias(c), F.col("grams").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
-    pairs = pairs.join(marks("a"), "a").join(marks("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_possible(threshold), "a bigint, b bigint")
-    left = words.select(F.col("id").alias("a"), F.col("words").alias("wa"))
-    right = words.select(F.col("id").alias("b"), F.col("words").alias("wb"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(threshold, band), "a bigint, b bigint, similarity double, edit_similarity double")
+    """Links (a, b, similarity, edit_similarity) among candidate ``pairs`` (a, b) of texts ``words`` (id, words), one row an id.
+
+    Marks of fixed size drop impossible pairs first, so that only words of texts in likely pairs are moved.
+    """
+    words = words.select("id", "words")
+    ids = lambda p: p.select(F.explode(F.array("a", "b")).alias("id"))
+    marked = materialize(words.mapInArrow(_marks(spread(pairs, bloom_of(ids(pairs), bloom_bits))), "id bigint, grams int, marks binary"))
+    marks = lambda c: marked.select(F.col("id").alias(c), F.col("grams").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
+    likely = materialize(pairs.join(marks("a"), "a").join(marks("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_possible(threshold), "a bigint, b bigint"))
+    discard(marked)
+    chosen = words.mapInArrow(_words_of(spread(pairs, bloom_of(ids(likely), bloom_bits))), "id bigint, words binary")
+    left = chosen.select(F.col("id").alias("a"), F.col("words").alias("wa"))
+    right = chosen.select(F.col("id").alias("b"), F.col("words").alias("wb"))
+    links = likely.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(threshold, band), "a bigint, b bigint, similarity double, edit_similarity double")
     out = materialize(links)
-    discard(words)
+    discard(likely)
     return out
 
 
