@@ -159,6 +159,43 @@ def test_family_decisions_in_blocks_equal_one_pass(spark):
     assert {tuple(r) for r in family_dedup.family_decisions(d, family_rows=25).collect()} == one
 
 
+def test_leaders_of_a_large_family_compare_few_pairs(monkeypatch):
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(7)
+    texts = []
+    for i in range(900):
+        w = [f"w{rng.randrange(9000)}" for _ in range(300)] if i % 5 or not texts else texts[rng.randrange(len(texts))].split()[: rng.randrange(60, 301)]
+        texts.append("\n".join(" ".join(w[x : x + 12]) for x in range(0, len(w), 12)))
+    order = sorted(range(900), key=lambda i: -(i * 7919 % 900))
+    pdf = pd.DataFrame([("hot", i, f"/p{i:03}", ".pdf", (i * 7919 % 900) / 900, 1000, f"h{texts[i]}", texts[i], 0, None, None, None) for i in range(900)], columns=family_dedup.IN)
+    looked, near = [], family_dedup._near
+    with monkeypatch.context() as m:
+        m.setattr(family_dedup, "_near", lambda a, b: looked.append(1) or near(a, b))
+        got = family_dedup._leaders(0.9, 200)(pdf)
+    assert len(looked) < 9000
+    units = [family_dedup._units(t) for t in texts]
+    leaders, want = [], {}
+    for i in order:
+        hit = next((j for j in leaders if family_dedup._near(units[j], units[i]) >= 0.9), None) if i % 5 == 0 or i < 5 else None
+        want[i] = f"/p{i:03}" if hit is None else f"/p{hit:03}"
+        leaders += [i] if hit is None else []
+    duplicates = {i: c for i, c in zip(got["file_id"], got["canonical_path"], strict=True) if i % 5 == 0}
+    assert len(got) == 900 and any(c != f"/p{i:03}" for i, c in duplicates.items()) and duplicates == {i: c for i, c in want.items() if i % 5 == 0}
+
+
+def test_blocks_of_a_hot_family_broadcast_no_texts(spark, monkeypatch):
+    plans = []
+    kept = family_dedup.materialize
+    monkeypatch.setattr(family_dedup, "materialize", lambda df, *a: plans.append(df._jdf.queryExecution().toString()) or kept(df, *a))
+    rows = [(i, f"/p{i:03}", ".pdf", "hot", 0.5, 300, f"h{i}", "\n".join(f"w{i % 20} {k} a b c d" for k in range(40))) for i in range(60)]
+    out = family_dedup.family_decisions(spark.createDataFrame(rows, DOCS), family_rows=25)
+    assert out.where("status = 'canonical'").count() == 20
+    assert len(plans) > 5 and not [p for p in plans if "BroadcastHashJoin" in p]
+
+
 def test_profile_tree(spark):
     names = ["bundle_a/doc.pdf", "bundle_a/doc_djvu.txt", "bundle_b/doc.pdf", "bundle_b/doc_djvu.txt", "scan_001.jpeg", "manual_encrypted.pdf"]
     t = profile.tree(spark.createDataFrame([(f"/root/{n}", 5) for n in names], "path string, size bigint"), F.lit("/root"))
