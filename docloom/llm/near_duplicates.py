@@ -26,7 +26,7 @@ from ..plans.shared import attach_group, discard, materialize, ship_package, wid
 from .alignment import banded_distance
 from .hashing import U, blocks, mix, shingles, spread_values, word_blocks, word_values
 from .prefixes import K, token_bits, token_counts, token_rows, wanted_rows
-from .sketches import get_bits, merged_table, set_bits, spread
+from .sketches import Packed, get_bits, merged_table, set_bits
 
 SIGS = 8
 GLOBAL_KEYS = 6
@@ -301,11 +301,11 @@ def verified(pairs: DataFrame, words: DataFrame, threshold: float, band: int, bl
     """
     words = words.select("id", "words")
     ids = lambda p: p.select(F.explode(F.array("a", "b")).alias("id"))
-    marked = materialize(words.mapInArrow(_marks(spread(pairs, bloom_of(ids(pairs), bloom_bits))), "id bigint, grams int, marks binary"))
+    marked = materialize(words.mapInArrow(_marks(Packed(pairs, bloom_of(ids(pairs), bloom_bits))), "id bigint, grams int, marks binary"))
     marks = lambda c: marked.select(F.col("id").alias(c), F.col("grams").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
     likely = materialize(pairs.join(marks("a"), "a").join(marks("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_possible(threshold), "a bigint, b bigint"))
     discard(marked)
-    chosen = words.mapInArrow(_words_of(spread(pairs, bloom_of(ids(likely), bloom_bits))), "id bigint, words binary")
+    chosen = words.mapInArrow(_words_of(Packed(pairs, bloom_of(ids(likely), bloom_bits))), "id bigint, words binary")
     left = chosen.select(F.col("id").alias("a"), F.col("words").alias("wa"))
     right = chosen.select(F.col("id").alias("b"), F.col("words").alias("wb"))
     links = likely.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(threshold, band), "a bigint, b bigint, similarity double, edit_similarity double")
@@ -319,16 +319,17 @@ def _across_groups(words: DataFrame, groups: DataFrame, number: int, threshold:
 
     What meets under a token are groups before rows, so that a token of a large group costs nothing within the group.
     """
-    counts = spread(words, token_counts(words, number))
+    counts = Packed(words, token_counts(words, number))
     of = lambda rows, i, n, g: rows.join(groups, "id").select("token", F.col("id").alias(i), F.col("n").alias(n), F.col("grp").alias(g))
     prefix = materialize(words.mapInArrow(token_rows(counts, threshold, True), "token bigint, id bigint, pos int, n int").select("token", "id", "n"))
-    wanted = spread(words, token_bits(prefix, prefix.count()))
+    wanted = Packed(words, token_bits(prefix, prefix.count()))
     small = materialize(of(prefix, "a", "na", "ga"))
+    discard(prefix)
     large = materialize(of(words.mapInArrow(wanted_rows(wanted), "token bigint, id bigint, n int"), "b", "nb", "gb"))
     meet = small.select("token", "ga").distinct().join(large.select("token", "gb").distinct(), "token").where("ga <> gb")
     pairs = meet.join(small, ["token", "ga"]).join(large, ["token", "gb"]).where("na <= nb")
     out = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    for t in (prefix, small, large):
+    for t in (small, large):
         discard(t)
     return out
 

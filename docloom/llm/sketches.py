@@ -94,6 +94,23 @@ def spread(df: DataFrame, array: np.ndarray) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(array)
 
 
+class Packed:
+    """A broadcast table that is unpacked by the task that reads it: the driver and each executor keep a file of the packed bytes."""
+
+    def __init__(self, df: DataFrame, array: np.ndarray) -> None:
+        self.dtype, self.nbytes, self.table = array.dtype.str, array.nbytes, None
+        self.packed = df.sparkSession.sparkContext.broadcast(pa.compress(np.ascontiguousarray(array).tobytes(), codec="zstd", asbytes=True))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"table": None}
+
+    @property
+    def value(self) -> np.ndarray:
+        if self.table is None:
+            self.table = np.frombuffer(pa.decompress(self.packed.value, self.nbytes, codec="zstd", asbytes=True), self.dtype)
+        return self.table
+
+
 def set_bits(bits: np.ndarray, at: np.ndarray) -> None:
     np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
 

@@ -295,3 +295,15 @@ def test_tables_merge_in_levels(spark, monkeypatch, how):
         assert one[0].tolist() == want.tolist()
     else:
         assert S.get_bits(one[-1], np.arange(1024)).tolist() == (want > (how == "twice")).tolist()
+
+
+def test_tables_are_broadcast_packed(spark, monkeypatch):
+    sent = []
+    sc, send = spark.sparkContext, type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(sc), "broadcast", lambda self, x: sent.append(getattr(x, "nbytes", None) or len(x)) or send(self, x))
+    rng = random.Random(31)
+    base = text(rng, 80)
+    rows = [(i, text(rng, 80)) for i in range(30)] + [(40, base), (41, base + " end"), (42, edit(rng, base, 1))]
+    got = {(r["id"], r["first"]) for r in near_duplicate_groups(spark.createDataFrame(rows, "file_id bigint, normalized_text string")).collect()}
+    assert got == {(40, 40), (41, 40), (42, 40)}
+    assert len(sent) > 3 and sum(sent) < 300_000
